@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,7 +128,7 @@ def on_time_rate(analytics: DataFrame) -> DataFrame:
     )
 
 
-def reconciliation(facts: dict[str, DataFrame]) -> DataFrame:
+def reconciliation(facts: Mapping[str, DataFrame]) -> DataFrame:
     """KPI 10: rows per fact table."""
     return stack_rows([
         df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import day_gap, distinct_text, on_time, zero_if_null
 from orderlens.operators.conform import to_mart
 from orderlens.operators.joins import fanout_left_join, guard_unique
+from orderlens.sources.tables import session_of
 
 ITEM_KEY = ["order_id", "item_number"]
 
@@ -166,7 +168,7 @@ class Marts:
     that carry its columns: a guarded many-to-one left join adds columns, never rows.
     """
 
-    sheets: dict[str, DataFrame]
+    sheets: Mapping[str, DataFrame]
 
     def conformed(self, name: str) -> DataFrame:
         return to_mart(self.sheets[name], name)
@@ -218,9 +220,9 @@ class Marts:
         }
 
 
-def write_marts(sheets: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_marts(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Build and write the six tables as Parquet; returns the written tables."""
-    spark = next(iter(sheets.values())).sparkSession
+    spark = session_of(sheets)
     written = {}
     for name, df in Marts(sheets).all().items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from orderlens.schema import (
     DATE_RULES, DELIVERED, FOREIGN_KEYS, PRIMARY_KEYS, REFERENCE_RULES, SHEETS, SUSPECT_NUMBER_RULES, table_columns,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 # -- source sheets ----------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from orderlens.operators.numbering import dense_ids
 from orderlens.plans.marts import Marts
 from orderlens.schema import LOAD_ORDER, SHEET_OF_TABLE, table_columns
 from orderlens.session import work_path
+from orderlens.sources.tables import session_of
 
 SOURCE_FACTS = (
     "fact_order", "fact_order_item", "fact_delivery", "fact_delivery_item", "fact_shipment", "fact_shipment_item",
@@ -40,7 +43,7 @@ def number_analytics(rows: DataFrame) -> DataFrame:
     return numbered.select(*[c for c, _ in table_columns("fact_delivery_analytics")])
 
 
-def table(sheets: dict[str, DataFrame], name: str) -> DataFrame:
+def table(sheets: Mapping[str, DataFrame], name: str) -> DataFrame:
     """One warehouse table from the sheets."""
     if name == "dim_carrier":
         return dim_carrier(sheets["VTTK"])
@@ -52,7 +55,7 @@ def table(sheets: dict[str, DataFrame], name: str) -> DataFrame:
     return to_table(sheets[sheet], sheet)
 
 
-def tables(sheets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All eleven tables, parents first."""
     return {name: table(sheets, name) for name in LOAD_ORDER}
 
@@ -65,14 +68,14 @@ def create_schema(spark: SparkSession, database: str, location: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
 
 
-def load(sheets: dict[str, DataFrame], database: str = "orderlens_dw", location: str | None = None,
+def load(sheets: Mapping[str, DataFrame], database: str = "orderlens_dw", location: str | None = None,
          append: bool = False) -> dict[str, DataFrame]:
     """Create and fill the warehouse; returns the loaded tables.
 
     Loading replaces the rows, so it can be run again; ``append`` adds to them.
     Text longer than its column and numbers out of range fail the insert.
     """
-    spark = next(iter(sheets.values())).sparkSession
+    spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))
     loaded = {}
     for name in LOAD_ORDER:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from orderlens.functions import named
 from orderlens.operators import checks
 from orderlens.operators.checks import stack_rows
-from orderlens.operators.conform import to_table
 from orderlens.plans import feeders, kpis, quality, warehouse
 from orderlens.plans.marts import Marts, preview, write_marts
 from orderlens.schema import SHEETS
 from orderlens.session import tune, work_path
 from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
+from orderlens.sources.tables import LazyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -268,9 +268,9 @@ def dq_profile(b: Bridge) -> DataFrame:
     return quality.profile(sheets).unionByName(checks.profile(lines, "order_items", ["order_id", "item_number"]))
 
 
-def _with_raw_lines(b: Bridge) -> dict[str, DataFrame]:
+def _with_raw_lines(b: Bridge) -> LazyTables:
     """The sheets with order lines as they come, where keys do repeat."""
-    return b.sheets() | {"VBAP": b.vbap_raw()}
+    return b.sheets().replace(VBAP=b.vbap_raw)
 
 
 @_query
@@ -300,7 +300,7 @@ def dq_subset(b: Bridge) -> DataFrame:
 @_query
 def dq_unparseable_dates(b: Bridge) -> DataFrame:
     """The four rules, with order dates as text from a mixed-format feed."""
-    return quality.unparseable_dates(b.lean_sheets(requested_date=True) | {"VBAK": b.vbak_mixed_dates()})
+    return quality.unparseable_dates(b.lean_sheets(requested_date=True).replace(VBAK=b.vbak_mixed_dates))
 
 
 @_query
@@ -360,7 +360,7 @@ def dw_pk_violations(b: Bridge) -> DataFrame:
     return quality.primary_key_violations(warehouse.tables(b.lean_sheets(requested_date=True)))
 
 
-def _unnumbered_tables(b: Bridge, sheets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _unnumbered_tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     names = [t for t in warehouse.LOAD_ORDER if t != "fact_delivery_analytics"]
     return {t: warehouse.table(sheets, t) for t in names} | {
         "fact_delivery_analytics": Marts(sheets).delivery_analytics
@@ -369,9 +369,9 @@ def _unnumbered_tables(b: Bridge, sheets: dict[str, DataFrame]) -> dict[str, Dat
 
 @_query
 def dw_fk_violations(b: Bridge) -> DataFrame:
-    return quality.foreign_key_violations(_unnumbered_tables(b, b.sheets()))
+    return quality.foreign_key_violations(_unnumbered_tables(b.sheets()))
 
 
 @_query
 def dw_length_violations(b: Bridge) -> DataFrame:
-    return quality.type_violations(_unnumbered_tables(b, b.sheets()))
+    return quality.type_violations(_unnumbered_tables(b.sheets()))

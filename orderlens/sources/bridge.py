@@ -7,10 +7,13 @@ delivery travels as one shipment. Columns without a counterpart are null.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.schema import SHEETS
+from orderlens.sources.tables import LazyTables
 
 # Suppliers share this many shipping points, so order * points + point stays a unique
 # BIGINT at any number of suppliers.
@@ -42,24 +45,26 @@ class Bridge:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root
+        # Opening a Parquet table reads its footer, so open each one once.
+        self.table = cache(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
-
-    def sheets(self) -> dict[str, DataFrame]:
+    def sheets(self) -> LazyTables:
         """All sheets with all their columns."""
-        return {name: getattr(self, name.lower())() for name in SHEETS}
+        return LazyTables({name: getattr(self, name.lower()) for name in SHEETS})
 
-    def lean_sheets(self, requested_date: bool = False) -> dict[str, DataFrame]:
+    def lean_sheets(self, requested_date: bool = False) -> LazyTables:
         """All sheets, those made of lines without what only their order knows.
 
         Saves a join per sheet where customer and priority are not asked for;
         ``requested_date`` keeps the one on order items.
         """
-        lean = {n: getattr(self, n.lower())(with_order=False) for n in ("LIKP", "LIPS", "VTTK", "VTTP")}
-        return {
-            "KNA1": self.kna1(), "LFA1": self.lfa1(), "VBAK": self.vbak(), "VBAP": self.vbap(requested_date), **lean
-        }
+        return self.sheets().replace(
+            VBAP=lambda: self.vbap(with_order=requested_date),
+            LIKP=lambda: self.likp(with_order=False),
+            LIPS=lambda: self.lips(with_order=False),
+            VTTK=lambda: self.vttk(with_order=False),
+            VTTP=lambda: self.vttp(with_order=False),
+        )
 
     # -- masters ------------------------------------------------------------
     def _places(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from orderlens.functions import named
 from orderlens.operators.checks import stack_rows
 from orderlens.operators.conform import trim_headers
 from orderlens.schema import SHEETS
+from orderlens.sources.tables import session_of
 
 log = logging.getLogger(__name__)
 
@@ -63,9 +65,9 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         return None
 
 
-def land(sheets: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def land(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write every sheet to ``root/<name>`` as Parquet and return the landed tables."""
-    spark = next(iter(sheets.values())).sparkSession
+    spark = session_of(sheets)
     landed = {}
     for name, df in sheets.items():
         clean = trim_headers(df)
@@ -74,7 +76,7 @@ def land(sheets: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return landed
 
 
-def shape(tables: dict[str, DataFrame]) -> DataFrame:
+def shape(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and columns per table."""
     return stack_rows([
         df.agg(F.count("*").alias("row_count")).select(
@@ -95,7 +97,7 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
     )
 
 
-def export_for_bi(tables: dict[str, DataFrame], root: str) -> None:
+def export_for_bi(tables: Mapping[str, DataFrame], root: str) -> None:
     """CRLF CSV per warehouse table, flags as 0/1 as the BI tool expects."""
     for name, df in tables.items():
         flat = [
