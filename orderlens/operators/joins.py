@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import named
 
+# Right rows of one key that a single task should join; also bounds the hot-key list.
+ROWS_PER_TASK = 4_000_000
+
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with their row count ``n``; nulls count as equal.
@@ -35,17 +38,35 @@ def guard_unique(result: DataFrame, one: DataFrame, keys: list[str], what: str)
     return result.unionByName(empty)
 
 
-def fanout_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def fanout_left_join(
+    left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Left join for a right side whose rows may pile up on a few keys.
 
-    Adaptive execution can split a hot key on the preserved side of an outer join
-    only. So the matches go through an inner join, where either side may be split,
-    and the rest are found against the right side's distinct keys, where no key is
-    hot. Both branches read the left side through one shared shuffle.
+    Adaptive execution cannot split a hot key on the optional side of an outer join, so
+    hot keys are salted here. A key with more than ``rows_per_task`` right rows is hot:
+    its right rows are dealt over enough salts to hold that size, and its left rows are
+    copied to each salt. There can be at most ``rows / rows_per_task`` hot keys, which
+    bounds the broadcast. A hot key has matches by definition, so the unmatched rows its
+    copies may leave on an empty salt are dropped; every other row is joined as usual.
+
+    The salt hashes the row and its partition, both the same when a task is run again.
     """
-    matched = left.join(right, on, "inner")
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    right = right.dropna(subset=on)
+    sizes = right.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    hot = F.broadcast(sizes.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
+
+    deal = F.pmod(F.xxhash64(*[named(c) for c in right.columns], F.spark_partition_id()), F.col("_salts"))
+    dealt = right.join(hot, on, "left").select(
+        *[named(c) for c in right.columns],
+        F.coalesce(deal.cast("int"), F.lit(0)).alias("_salt"),
+        F.lit(True).alias("_hit"),
+    )
+    copies = left.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    )
+    joined = copies.join(dealt, [*on, "_salt"], "left").where("_salts IS NULL OR _hit")
+    return joined.select(*left.columns, *[c for c in right.columns if c not in on])
 
 
 def orphan_values(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,

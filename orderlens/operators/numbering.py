@@ -11,8 +11,8 @@ from orderlens.session import materialize
 _ROW_BITS = 33
 
 
-def dense_ids(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
-    """Add ``name`` = 1..n in the order of ``order_by``.
+def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) -> DataFrame:
+    """Add ``name`` = after+1..after+n in the order of ``order_by``.
 
     The rows are range-partitioned and sorted, so any run of rows, a hot leading key
     included, is spread as far as ``order_by`` tells its rows apart. The sorted rows
@@ -31,5 +31,5 @@ def dense_ids(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     return (
         placed.withColumn("_part", part)
         .join(offsets, "_part")
-        .select((F.col("_before") + row + 1).alias(name), *df.columns)
+        .select((F.col("_before") + row + 1 + after).alias(name), *df.columns)
     )

@@ -101,13 +101,10 @@ def order_summary(headers: DataFrame, items: DataFrame, delivered: DataFrame, sh
         zero_if_null(F.sum("shipped_quantity")).alias("total_shipped_qty"),
         distinct_text(F.col("item_shipment_status")).alias("shipment_statuses"),
     )
-    # Only matched deliveries carry a gap or a flag, so the averages need no outer join.
-    gap = day_gap(F.col("delivery_date"), F.col("requested_delivery_date"))
-    met = on_time(F.col("delivery_date"), F.col("requested_delivery_date"))
-    wanted = items.select(*ITEM_KEY, "requested_delivery_date")
-    timing = wanted.join(_deliveries_of_items(delivered), ITEM_KEY).groupBy("order_id").agg(
-        F.avg(gap).alias("avg_delivery_gap_days"),
-        F.avg(met.cast("double")).alias("pct_items_on_time_proxy"),
+    wanted = items.where(keyed).select(*ITEM_KEY, "requested_delivery_date")
+    timing = match_deliveries(wanted, delivered).groupBy("order_id").agg(
+        F.avg("delivery_gap_days").alias("avg_delivery_gap_days"),
+        F.avg(F.col("on_time_proxy").cast("double")).alias("pct_items_on_time_proxy"),
     )
     summary = (
         headers.where(keyed)
@@ -221,10 +218,23 @@ class Marts:
 
 
 def write_marts(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Build and write the six tables as Parquet; returns the written tables."""
+    """Build and write the six tables as Parquet; returns the written tables.
+
+    The written order items serve as the order lines of the later tables.
+    """
     spark = session_of(sheets)
-    written = {}
-    for name, df in Marts(sheets).all().items():
+    marts = Marts(sheets)
+    written: dict[str, DataFrame] = {}
+
+    def save(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
         written[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+        return written[name]
+
+    lines = save("order_items", marts.order_items)
+    save("delivery_items", marts.delivery_items)
+    save("shipment_items", marts.shipment_items)
+    save("item_delivery_performance", item_delivery_performance(lines, marts.conformed("LIPS")))
+    save("order_summary", marts.order_summary)
+    save("delivery_analytics", delivery_analytics(lines, marts.conformed("LIPS"), marts.conformed("VTTP")))
     return written

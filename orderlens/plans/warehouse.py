@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import named
 from orderlens.operators.conform import to_table
 from orderlens.operators.numbering import dense_ids
+from orderlens.plans import quality
 from orderlens.plans.marts import Marts
 from orderlens.schema import LOAD_ORDER, SHEET_OF_TABLE, table_columns
 from orderlens.session import work_path
@@ -36,10 +37,14 @@ def dim_product(*items: DataFrame) -> DataFrame:
     return union.distinct()
 
 
-def number_analytics(rows: DataFrame) -> DataFrame:
-    """Analytics rows with their dense ``analytics_id``."""
+def number_analytics(rows: DataFrame, after: int = 0) -> DataFrame:
+    """Analytics rows with their dense ``analytics_id``, counting on from ``after``.
+
+    Rows that carry their delivery's key have a total order, so ids repeat from run to
+    run; without it, rows equal in all the order columns are interchangeable.
+    """
     order = [c for c in ANALYTICS_ORDER if c in rows.columns]
-    numbered = dense_ids(rows, order, "analytics_id")
+    numbered = dense_ids(rows, order, "analytics_id", after)
     return numbered.select(*[c for c, _ in table_columns("fact_delivery_analytics")])
 
 
@@ -68,19 +73,49 @@ def create_schema(spark: SparkSession, database: str, location: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
 
 
-def load(sheets: Mapping[str, DataFrame], database: str = "orderlens_dw", location: str | None = None,
-         append: bool = False) -> dict[str, DataFrame]:
+def load(
+    sheets: Mapping[str, DataFrame],
+    database: str = "orderlens_dw",
+    location: str | None = None,
+    analytics: DataFrame | None = None,
+    with_analytics: bool = True,
+    append: bool = False,
+    validate: bool = True,
+) -> dict[str, DataFrame]:
     """Create and fill the warehouse; returns the loaded tables.
 
-    Loading replaces the rows, so it can be run again; ``append`` adds to them.
-    Text longer than its column and numbers out of range fail the insert.
+    Loading replaces the rows, so it can be run again; ``append`` adds to them instead.
+    ``analytics`` takes analytics rows written earlier; otherwise they are built from the
+    sheets, unless ``with_analytics`` is off, which leaves that table empty. Text longer
+    than its column and numbers out of range fail the insert, and ``validate`` fails the
+    load on primary and foreign key violations, naming the rules.
     """
     spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))
-    loaded = {}
     for name in LOAD_ORDER:
         target = f"{database}.{name}"
-        rows = table(sheets, name).select(*[named(c) for c, _ in table_columns(name)])
-        rows.write.insertInto(target, overwrite=not append)
-        loaded[name] = spark.table(target)
+        if name != "fact_delivery_analytics":
+            rows = table(sheets, name)
+        elif not with_analytics:
+            continue
+        else:
+            last = spark.table(target).agg(F.max("analytics_id")).first()[0] if append else None
+            rows = number_analytics(Marts(sheets).analytics_rows if analytics is None else analytics, last or 0)
+        rows.select(*[named(c) for c, _ in table_columns(name)]).write.insertInto(target, overwrite=not append)
+    loaded = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+    if validate:
+        require_keys(loaded)
     return loaded
+
+
+def require_keys(tables: Mapping[str, DataFrame]) -> None:
+    """Raise if a table breaks its primary key or a reference. At most one row per rule is fetched."""
+    broken = [
+        f"{r['table']} primary key: {r['duplicate_rows']} duplicate, {r['null_key_rows']} null"
+        for r in quality.primary_key_violations(tables).where("duplicate_rows > 0 OR null_key_rows > 0").collect()
+    ] + [
+        f"{r['child']}({r['key']}) -> {r['parent']}: {r['violating_rows']} rows"
+        for r in quality.foreign_key_violations(tables).where("violating_rows > 0").collect()
+    ]
+    if broken:
+        raise ValueError("key violations: " + "; ".join(broken))
