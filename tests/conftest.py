@@ -1,6 +1,8 @@
 import pytest
 
-from orderlens.session import local_session
+from orderlens.session import local_session, work_path
+from orderlens.sources.files import land
+from tests.fixture_sheets import build
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +18,5 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sheets(spark):
-    from tests.fixture_sheets import build
-
-    return build(spark)
+    """The golden sheets, landed as Parquet."""
+    return land(build(spark), work_path(spark, "golden"))
