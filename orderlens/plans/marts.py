@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import day_gap, distinct_text, on_time, zero_if_null
 from orderlens.operators.conform import to_mart
 from orderlens.operators.joins import fanout_left_join, guard_unique
+from orderlens.session import run_together
 from orderlens.sources.tables import session_of
 
 ITEM_KEY = ["order_id", "item_number"]
@@ -80,6 +81,19 @@ def item_delivery_performance(lines: DataFrame, delivered: DataFrame) -> DataFra
     )
 
 
+def _per_order(items: DataFrame, key: str, quantity: str, status: str, names: tuple[str, str, str]) -> DataFrame:
+    """Distinct documents, total quantity and distinct statuses per order.
+
+    The statuses are collected on their own: mixed with a distinct count, Spark would
+    carry the collected sets through every step of that count's plan.
+    """
+    documents, total, statuses = names
+    counted = items.groupBy("order_id").agg(
+        F.count_distinct(key).alias(documents), zero_if_null(F.sum(quantity)).alias(total)
+    )
+    return counted.join(items.groupBy("order_id").agg(distinct_text(F.col(status)).alias(statuses)), "order_id")
+
+
 def order_summary(headers: DataFrame, items: DataFrame, delivered: DataFrame, shipped: DataFrame) -> DataFrame:
     """One row per order with item, delivery and shipment totals.
 
@@ -91,15 +105,13 @@ def order_summary(headers: DataFrame, items: DataFrame, delivered: DataFrame, sh
     ordered = items.where(keyed).groupBy("order_id").agg(
         F.count("item_number").alias("_items"), F.sum("order_quantity").alias("_ordered")
     )
-    deliveries = delivered.where(keyed).groupBy("order_id").agg(
-        F.count_distinct("delivery_id").alias("total_deliveries"),
-        zero_if_null(F.sum("delivered_quantity")).alias("total_delivered_qty"),
-        distinct_text(F.col("item_delivery_status")).alias("delivery_statuses"),
+    deliveries = _per_order(
+        delivered.where(keyed), "delivery_id", "delivered_quantity", "item_delivery_status",
+        ("total_deliveries", "total_delivered_qty", "delivery_statuses"),
     )
-    shipments = shipped.where(keyed).groupBy("order_id").agg(
-        F.count_distinct("shipment_id").alias("total_shipments"),
-        zero_if_null(F.sum("shipped_quantity")).alias("total_shipped_qty"),
-        distinct_text(F.col("item_shipment_status")).alias("shipment_statuses"),
+    shipments = _per_order(
+        shipped.where(keyed), "shipment_id", "shipped_quantity", "item_shipment_status",
+        ("total_shipments", "total_shipped_qty", "shipment_statuses"),
     )
     wanted = items.where(keyed).select(*ITEM_KEY, "requested_delivery_date")
     timing = match_deliveries(wanted, delivered).groupBy("order_id").agg(
@@ -224,17 +236,23 @@ def write_marts(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFra
     """
     spark = session_of(sheets)
     marts = Marts(sheets)
-    written: dict[str, DataFrame] = {}
-
-    def save(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        written[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
-        return written[name]
-
-    lines = save("order_items", marts.order_items)
-    save("delivery_items", marts.delivery_items)
-    save("shipment_items", marts.shipment_items)
-    save("item_delivery_performance", item_delivery_performance(lines, marts.conformed("LIPS")))
-    save("order_summary", marts.order_summary)
-    save("delivery_analytics", delivery_analytics(lines, marts.conformed("LIPS"), marts.conformed("VTTP")))
-    return written
+
+    def save(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        def write(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+        written = run_together([lambda n=n, df=df: write(n, df) for n, df in tables.items()])
+        return dict(zip(tables, written))
+
+    first = save({
+        "order_items": marts.order_items,
+        "delivery_items": marts.delivery_items,
+        "shipment_items": marts.shipment_items,
+        "order_summary": marts.order_summary,
+    })
+    lines, delivered, shipped = first["order_items"], marts.conformed("LIPS"), marts.conformed("VTTP")
+    return first | save({
+        "item_delivery_performance": item_delivery_performance(lines, delivered),
+        "delivery_analytics": delivery_analytics(lines, delivered, shipped),
+    })

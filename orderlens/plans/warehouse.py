@@ -13,7 +13,7 @@ from orderlens.operators.numbering import dense_ids
 from orderlens.plans import quality
 from orderlens.plans.marts import Marts
 from orderlens.schema import LOAD_ORDER, SHEET_OF_TABLE, table_columns
-from orderlens.session import work_path
+from orderlens.session import run_together, work_path
 from orderlens.sources.tables import session_of
 
 SOURCE_FACTS = (
@@ -92,16 +92,18 @@ def load(
     """
     spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))
-    for name in LOAD_ORDER:
-        target = f"{database}.{name}"
-        if name != "fact_delivery_analytics":
-            rows = table(sheets, name)
-        elif not with_analytics:
-            continue
-        else:
-            last = spark.table(target).agg(F.max("analytics_id")).first()[0] if append else None
-            rows = number_analytics(Marts(sheets).analytics_rows if analytics is None else analytics, last or 0)
-        rows.select(*[named(c) for c, _ in table_columns(name)]).write.insertInto(target, overwrite=not append)
+
+    def insert(name: str, rows: DataFrame) -> None:
+        target = rows.select(*[named(c) for c, _ in table_columns(name)]).write
+        target.insertInto(f"{database}.{name}", overwrite=not append)
+
+    sourced = [n for n in LOAD_ORDER if n != "fact_delivery_analytics"]
+    run_together([lambda n=n, rows=table(sheets, n): insert(n, rows) for n in sourced])
+    if with_analytics:
+        target = spark.table(f"{database}.fact_delivery_analytics")
+        last = target.agg(F.max("analytics_id")).first()[0] if append else None
+        rows = Marts(sheets).analytics_rows if analytics is None else analytics
+        insert("fact_delivery_analytics", number_analytics(rows, last or 0))
     loaded = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
     if validate:
         require_keys(loaded)

@@ -18,6 +18,10 @@ from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
 from orderlens.sources.tables import LazyTables
 
+# Sheets made of lines, which some queries read several times.
+_ITEMS = ("VBAP", "LIPS", "VTTP")
+_LINE_SHEETS = (*_ITEMS, "LIKP", "VTTK")
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -47,8 +51,9 @@ def queries() -> dict[str, Query]:
 class _Facts:
     """Warehouse tables straight from the sheets that KPIs need."""
 
-    def __init__(self, bridge: Bridge, requested_date: bool = False) -> None:
-        self.sheets = bridge.lean_sheets(requested_date)
+    def __init__(self, bridge: Bridge, requested_date: bool = False, landed: bool = False) -> None:
+        sheets = bridge.lean_sheets(requested_date)
+        self.sheets = sheets.landed("VBAP", "LIPS") if landed else sheets
 
     def __getattr__(self, table: str) -> DataFrame:
         return warehouse.table(self.sheets, table)
@@ -96,14 +101,14 @@ def fact_delivery_analytics(b: Bridge) -> DataFrame:
 
 @_query
 def load_warehouse(b: Bridge) -> DataFrame:
-    loaded = warehouse.load(b.sheets())
+    loaded = warehouse.load(b.sheets().landed(*_ITEMS))
     return stack_rows([_report_rows(df, name) for name, df in loaded.items()])
 
 
 @_query
 def bi_export_shape(b: Bridge) -> DataFrame:
     root = work_path(b.spark, "bi")
-    tables = warehouse.tables(b.sheets())
+    tables = warehouse.tables(b.sheets().landed(*_ITEMS))
     files.export_for_bi(tables, root)
     return files.shape({n: b.spark.read.option("header", True).csv(f"{root}/{n}") for n in tables})
 
@@ -131,12 +136,12 @@ def item_delivery_performance(b: Bridge) -> DataFrame:
 
 @_query
 def order_summary(b: Bridge) -> DataFrame:
-    return Marts(b.lean_sheets(requested_date=True)).order_summary
+    return Marts(b.lean_sheets(requested_date=True).landed(*_ITEMS)).order_summary
 
 
 @_query
 def order_summary_preview(b: Bridge) -> DataFrame:
-    return preview(Marts(b.lean_sheets(requested_date=True)).order_summary)
+    return preview(Marts(b.lean_sheets(requested_date=True).landed(*_ITEMS)).order_summary)
 
 
 @_query
@@ -151,7 +156,7 @@ def delivery_analytics(b: Bridge) -> DataFrame:
 
 @_query
 def transform_row_counts(b: Bridge) -> DataFrame:
-    written = write_marts(b.sheets(), work_path(b.spark, "marts"))
+    written = write_marts(b.sheets().landed(*_ITEMS), work_path(b.spark, "marts"))
     return stack_rows([_report_rows(df, name) for name, df in written.items()])
 
 
@@ -249,7 +254,7 @@ def on_time_gauge(b: Bridge) -> DataFrame:
 
 @_query
 def kpi_cards(b: Bridge) -> DataFrame:
-    f = _Facts(b, requested_date=True)
+    f = _Facts(b, requested_date=True, landed=True)
     return feeders.kpi_cards(f.fact_order, f.fact_order_item, f.fact_delivery, f.fact_delivery_item, f.analytics)
 
 
@@ -357,7 +362,7 @@ def dq_report(b: Bridge) -> DataFrame:
 
 @_query
 def dw_pk_violations(b: Bridge) -> DataFrame:
-    return quality.primary_key_violations(warehouse.tables(b.lean_sheets(requested_date=True)))
+    return quality.primary_key_violations(warehouse.tables(b.lean_sheets(requested_date=True).landed(*_ITEMS)))
 
 
 def _unnumbered_tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -369,9 +374,9 @@ def _unnumbered_tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 @_query
 def dw_fk_violations(b: Bridge) -> DataFrame:
-    return quality.foreign_key_violations(_unnumbered_tables(b.sheets()))
+    return quality.foreign_key_violations(_unnumbered_tables(b.sheets().landed(*_LINE_SHEETS)))
 
 
 @_query
 def dw_length_violations(b: Bridge) -> DataFrame:
-    return quality.type_violations(_unnumbered_tables(b.sheets()))
+    return quality.type_violations(_unnumbered_tables(b.sheets().landed(*_LINE_SHEETS)))

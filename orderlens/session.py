@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("orderlens")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every column operation costs more than small queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -66,6 +72,18 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+T = TypeVar("T")
+
+# Jobs submitted at a time; one job's last tasks leave cores that the next one fills.
+_JOBS_TOGETHER = 4
+
+
+def run_together(jobs: Iterable[Callable[[], T]]) -> list[T]:
+    """Submit independent Spark jobs side by side; results in order, first error raised."""
+    with ThreadPoolExecutor(_JOBS_TOGETHER) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 

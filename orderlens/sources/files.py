@@ -13,6 +13,7 @@ from orderlens.functions import named
 from orderlens.operators.checks import stack_rows
 from orderlens.operators.conform import trim_headers
 from orderlens.schema import SHEETS
+from orderlens.session import run_together
 from orderlens.sources.tables import session_of
 
 log = logging.getLogger(__name__)
@@ -68,12 +69,14 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 def land(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write every sheet to ``root/<name>`` as Parquet and return the landed tables."""
     spark = session_of(sheets)
-    landed = {}
-    for name, df in sheets.items():
+
+    def write(name: str, df: DataFrame) -> DataFrame:
         clean = trim_headers(df)
         clean.write.mode("overwrite").parquet(f"{root}/{name}")
-        landed[name] = spark.read.schema(clean.schema).parquet(f"{root}/{name}")
-    return landed
+        return spark.read.schema(clean.schema).parquet(f"{root}/{name}")
+
+    landed = run_together([lambda n=n, df=df: write(n, df) for n, df in sheets.items()])
+    return dict(zip(sheets, landed))
 
 
 def shape(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -99,13 +102,16 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
 
 def export_for_bi(tables: Mapping[str, DataFrame], root: str) -> None:
     """CRLF CSV per warehouse table, flags as 0/1 as the BI tool expects."""
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> None:
         flat = [
             named(f.name).cast("int").alias(f.name) if f.dataType.simpleString() == "boolean" else named(f.name)
             for f in df.schema
         ]
         write_csv(df.select(*flat), f"{root}/{name}", "\r\n")
 
+    run_together([lambda n=n, df=df: write(n, df) for n, df in tables.items()])
+
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Append to a relational table; needs the database's JDBC driver on the classpath."""

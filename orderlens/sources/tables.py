@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.session import materialize, run_together
+
 
 class LazyTables(Mapping[str, DataFrame]):
     def __init__(self, makers: dict[str, Callable[[], DataFrame]]) -> None:
@@ -26,6 +28,15 @@ class LazyTables(Mapping[str, DataFrame]):
     def replace(self, **makers: Callable[[], DataFrame]) -> LazyTables:
         return LazyTables(self._makers | makers)
 
+    def landed(self, *names: str) -> LazyTables:
+        """The same tables, ``names`` written to the shared folder now.
+
+        For jobs that read a derived table several times: it is derived once, and every
+        reader then scans only the columns it needs.
+        """
+        written = run_together([lambda df=self[n], n=n: materialize(df, n) for n in names])
+        return self.replace(**{n: lambda df=df: df for n, df in zip(names, written)})
+
 
 def session_of(tables: Mapping[str, DataFrame]) -> SparkSession:
     return next(iter(tables.values())).sparkSession
