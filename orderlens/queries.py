@@ -18,7 +18,8 @@ from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
 from orderlens.sources.tables import LazyTables
 
-# Sheets made of lines, which some queries read several times.
+# Sheets made of lines. A query that reads one three times or more lands it first; below
+# that, deriving it again with only the columns each reader needs is cheaper.
 _ITEMS = ("VBAP", "LIPS", "VTTP")
 _LINE_SHEETS = (*_ITEMS, "LIKP", "VTTK")
 
@@ -51,9 +52,8 @@ def queries() -> dict[str, Query]:
 class _Facts:
     """Warehouse tables straight from the sheets that KPIs need."""
 
-    def __init__(self, bridge: Bridge, requested_date: bool = False, landed: bool = False) -> None:
-        sheets = bridge.lean_sheets(requested_date)
-        self.sheets = sheets.landed("VBAP", "LIPS") if landed else sheets
+    def __init__(self, bridge: Bridge, timed: bool = False) -> None:
+        self.sheets = bridge.lean_sheets(requested_date=timed)
 
     def __getattr__(self, table: str) -> DataFrame:
         return warehouse.table(self.sheets, table)
@@ -70,7 +70,7 @@ def _report_rows(df: DataFrame, label: str, count: str = "row_count") -> DataFra
 # -- sources ----------------------------------------------------------------
 @_query
 def source_shape(b: Bridge) -> DataFrame:
-    return files.shape(b.sheets())
+    return files.shape(b.lean_sheets())
 
 
 @_query
@@ -220,7 +220,7 @@ def kpi08_customer_fulfillment_pct(b: Bridge) -> DataFrame:
 
 @_query
 def kpi09_on_time_rate(b: Bridge) -> DataFrame:
-    return kpis.on_time_rate(_Facts(b, requested_date=True).analytics)
+    return kpis.on_time_rate(_Facts(b, timed=True).analytics)
 
 
 @_query
@@ -249,12 +249,12 @@ def geo_orders(b: Bridge) -> DataFrame:
 
 @_query
 def on_time_gauge(b: Bridge) -> DataFrame:
-    return feeders.on_time_gauge(_Facts(b, requested_date=True).analytics)
+    return feeders.on_time_gauge(_Facts(b, timed=True).analytics)
 
 
 @_query
 def kpi_cards(b: Bridge) -> DataFrame:
-    f = _Facts(b, requested_date=True, landed=True)
+    f = _Facts(b, timed=True)
     return feeders.kpi_cards(f.fact_order, f.fact_order_item, f.fact_delivery, f.fact_delivery_item, f.analytics)
 
 
@@ -273,19 +273,15 @@ def dq_profile(b: Bridge) -> DataFrame:
     return quality.profile(sheets).unionByName(checks.profile(lines, "order_items", ["order_id", "item_number"]))
 
 
-def _with_raw_lines(b: Bridge) -> LazyTables:
-    """The sheets with order lines as they come, where keys do repeat."""
-    return b.sheets().replace(VBAP=b.vbap_raw)
-
-
 @_query
 def dq_duplicate_keys(b: Bridge) -> DataFrame:
-    return quality.duplicate_keys(_with_raw_lines(b))
+    """With order lines as they come, where keys do repeat."""
+    return quality.duplicate_keys(b.lean_sheets().replace(VBAP=b.vbap_raw))
 
 
 @_query
 def dq_full_row_duplicates(b: Bridge) -> DataFrame:
-    return quality.full_row_duplicates(_with_raw_lines(b))
+    return quality.full_row_duplicates(b.sheets().replace(VBAP=b.vbap_raw))
 
 
 @_query
