@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import any_null, lenient_date, looks_corrupted, named
-from orderlens.operators.joins import orphan_values
+from orderlens.operators.joins import orphan_values, repeated_keys
+from orderlens.session import materialize
 
-REPORT_COLUMNS = ["table", "check", "issue_count"]
+# Most rows of keys that are sent to every executor.
+BROADCAST_ROWS = 1_000_000
 
 
 def stack_rows(frames: list[DataFrame]) -> DataFrame:
@@ -38,34 +41,33 @@ def profile(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     return _as_rows(table, measures)
 
 
+def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """Rows in duplicate-key groups; nulls count as equal. Shuffles keys only."""
+    repeated = repeated_keys(df, keys)
+    return _as_rows(table, repeated.agg(_total("n").alias("duplicate_primary_key")))
+
+
 def duplicates(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Rows in duplicate-key groups, and extra copies of whole rows; nulls count as equal.
 
-    Whole rows are counted first, so copies collapse before each shuffle and the key
-    level only adds up counts.
+    Copies of a row share its key. So the repeated keys are found first, from the key
+    columns alone, and only their rows are compared whole: clean data never shuffles a
+    row. The repeated keys are written down to know their number; few enough are
+    broadcast, more are joined by shuffle.
     """
-    rows = df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
-    by_key = rows.groupBy(*[named(k) for k in keys]).agg(
-        F.sum("_n").alias("_rows"), F.sum(F.col("_n") - 1).alias("_copies")
-    )
-    measures = by_key.agg(
-        F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0)).alias("duplicate_primary_key"),
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("full_row_duplicate"),
-    )
-    return _as_rows(table, measures)
-
-
-def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Rows in duplicate-key groups only; shuffles keys, not rows."""
-    groups = df.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("_n"))
-    held = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
-    return _as_rows(table, groups.agg(F.coalesce(held, F.lit(0)).alias("duplicate_primary_key")))
-
-
-def full_row_duplicates(df: DataFrame, table: str) -> DataFrame:
-    groups = df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
-    extra = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
-    return _as_rows(table, groups.agg(extra.alias("full_row_duplicate")))
+    repeated = materialize(repeated_keys(df, keys), "repeated")
+    few = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    same_key = reduce(and_, [df[f"`{k}`"].eqNullSafe(few[f"`{k}`"]) for k in keys])
+    suspects = df.join(few, same_key, "left_semi")
+    rows = suspects.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+    return stack_rows([
+        _as_rows(table, repeated.agg(_total("n").alias("duplicate_primary_key"))),
+        _as_rows(table, rows.agg((_total("_n") - F.count("*")).alias("full_row_duplicate"))),
+    ])
+
+
+def _total(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
 
 
 def orphans(child: DataFrame, child_name: str, column: str, parent: DataFrame, parent_name: str,

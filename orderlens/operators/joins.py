@@ -16,7 +16,7 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Partial aggregation keeps one row per key and map task, so a hot key is cheap.
     """
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    return df.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
 def guard_unique(result: DataFrame, one: DataFrame, keys: list[str], what: str) -> DataFrame:

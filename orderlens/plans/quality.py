@@ -14,6 +14,7 @@ from orderlens.operators.joins import orphan_rows, orphan_values, repeated_keys
 from orderlens.schema import (
     DATE_RULES, DELIVERED, FOREIGN_KEYS, PRIMARY_KEYS, REFERENCE_RULES, SHEETS, SUSPECT_NUMBER_RULES, table_columns,
 )
+from orderlens.session import run_together
 
 Tables = Mapping[str, DataFrame]
 
@@ -24,7 +25,9 @@ def profile(sheets: Tables) -> DataFrame:
 
 
 def duplicates(sheets: Tables) -> DataFrame:
-    return stack_rows([checks.duplicates(df, n, list(SHEETS[n].key)) for n, df in sheets.items()])
+    return stack_rows(run_together([
+        lambda df=df, n=n: checks.duplicates(df, n, list(SHEETS[n].key)) for n, df in sheets.items()
+    ]))
 
 
 def duplicate_keys(sheets: Tables) -> DataFrame:
@@ -32,7 +35,7 @@ def duplicate_keys(sheets: Tables) -> DataFrame:
 
 
 def full_row_duplicates(sheets: Tables) -> DataFrame:
-    return stack_rows([checks.full_row_duplicates(df, n) for n, df in sheets.items()])
+    return duplicates(sheets).where(F.col("check") == "full_row_duplicate")
 
 
 def orphans(sheets: Tables) -> DataFrame:

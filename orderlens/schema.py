@@ -193,7 +193,7 @@ DERIVED_TABLES: dict[str, tuple[tuple[str, str], ...]] = {
     ),
 }
 
-# Parents before children, so reference checks can run as tables land.
+# Parents before children.
 LOAD_ORDER = (
     "dim_customer", "dim_vendor", "dim_carrier", "dim_product",
     "fact_order", "fact_order_item", "fact_delivery", "fact_delivery_item",

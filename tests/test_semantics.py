@@ -1,5 +1,6 @@
 """Null, duplicate and date rules on hand-made rows."""
 
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
@@ -111,10 +112,23 @@ def test_duplicates_count_nulls_as_equal(spark):
     df = spark.createDataFrame(rows, "k int, v string")
     expected = {"duplicate_primary_key": 5, "full_row_duplicate": 2}
     assert issue(checks.duplicates(df, "t", ["k"])) == expected
-    assert issue(checks.duplicate_keys(df, "t", ["k"])) | issue(checks.full_row_duplicates(df, "t")) == expected
+    assert issue(checks.duplicate_keys(df, "t", ["k"])) == {"duplicate_primary_key": 5}
     assert sorted(tuples(repeated_keys(df, ["k"])), key=str) == [(1, 3), (None, 2)]
 
 
+def test_duplicates_agree_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = [(i % 7, None if i % 5 == 0 else i % 3, "v" if i % 2 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "`key one` int, k2 int, v string")
+    counts, keys = Counter(rows), Counter(r[:2] for r in rows)
+    expected = {
+        "duplicate_primary_key": sum(n for n in keys.values() if n > 1),
+        "full_row_duplicate": sum(n - 1 for n in counts.values()),
+    }
+    assert issue(checks.duplicates(df, "t", ["key one", "k2"])) == expected
+    monkeypatch.setattr(checks, "BROADCAST_ROWS", 1)
+    assert issue(checks.duplicates(df, "t", ["key one", "k2"])) == expected
+
+
 def test_checks_on_an_empty_table(spark):
     df = spark.createDataFrame([], "k int, v string")
     assert set(issue(checks.duplicates(df, "t", ["k"])).values()) == {0}
