@@ -6,11 +6,8 @@ from tests.fixture_sheets import build
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(
-        4, shuffle_partitions=4,
-        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.log.level": "OFF"},
-    )
+def spark():
+    session = local_session(4, shuffle_partitions=4)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -126,5 +126,26 @@ def test_load_can_append_and_skip_analytics(spark, sheets):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    assert shared_dir(spark).startswith("file:") or Path(shared_dir(spark)).exists()
-    assert spark.conf.get("spark.checkpoint.dir") in shared_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_dir(spark) == shared_dir(spark)
+    assert work_path(spark, "x") != work_path(spark, "x")
+    if configured is not None:
+        assert configured.removeprefix("file:").rstrip("/") in shared_dir(spark)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
