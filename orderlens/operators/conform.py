@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from orderlens.functions import lenient_date, named
 from orderlens.schema import SHEETS

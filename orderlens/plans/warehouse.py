@@ -19,7 +19,7 @@ from orderlens.sources.tables import session_of
 SOURCE_FACTS = (
     "fact_order", "fact_order_item", "fact_delivery", "fact_delivery_item", "fact_shipment", "fact_shipment_item",
 )
-# The reference order of the analytics ids: the item, its first shipment, then the deliveries.
+# Order of the analytics ids: the item, its first shipment, then the deliveries.
 ANALYTICS_ORDER = ["order_id", "item_number", "shipment_id", "delivery_id", "delivery_item"]
 
 

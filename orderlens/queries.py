@@ -16,7 +16,6 @@ from orderlens.schema import SHEETS
 from orderlens.session import tune, work_path
 from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
-from orderlens.sources.tables import LazyTables
 
 # Sheets made of lines. A query that reads one three times or more lands it first; below
 # that, deriving it again with only the columns each reader needs is cheaper.

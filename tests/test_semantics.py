@@ -220,6 +220,13 @@ def test_status_case_is_kept(spark):
     assert sorted(tuples(kpis.orders_by_status(df))) == [("Open", 1), ("open", 1)]
 
 
+def test_status_case_can_be_ignored_by_collation(spark):
+    df = spark.createDataFrame([("Delivered",), ("delivered",), ("Open",)], "order_status string")
+    folded = df.select(F.collate("order_status", "UTF8_LCASE").alias("order_status"))
+    assert sorted(r["total_orders"] for r in kpis.orders_by_status(folded).collect()) == [1, 2]
+    assert tuples(kpis.customer_fulfillment_pct(folded)) == [(66.67,)]
+
+
 def test_dimensions_skip_nulls(spark):
     shipments = spark.createDataFrame([("B",), ("A",), ("A",), (None,)], "Carrier string")
     assert sorted(tuples(warehouse.dim_carrier(shipments))) == [("A",), ("B",)]
