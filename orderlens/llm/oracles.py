@@ -27,11 +27,11 @@ WITH RECURSIVE words AS (
         ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words
 ), shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets
 ), shared AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b USING (shingle)
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS held FROM shingles a JOIN shingles b USING (shingle)
     WHERE a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
     SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
-    WHERE 100 * both >= 75 * (len(x.s) + len(y.s) - both)
+    WHERE 100 * held >= 75 * (len(x.s) + len(y.s) - held)
 ), reach AS (
     SELECT doc_id AS id, doc_id AS other FROM sets
     UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
