@@ -92,12 +92,14 @@ def slots(sources: DataFrame) -> DataFrame:
     rows = rows.withColumn("shards", F.ceil(F.sum("slots").over(Window.partitionBy()) / SHARD).cast("bigint"))
     rows = rows.where("slots > 0")
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / SLOTS)))
-    rows = rows.select("source_no", "n", "slots", "shards", part.alias("part")).repartition("source_no", "part")
+    # A number of partitions keeps adaptive execution from putting these few rows into one task: they unfold.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("source_no", "n", "slots", "shards", part.alias("part")).repartition(tasks, "source_no", "part")
     last = F.least((F.col("part") + 1) * SLOTS, F.col("slots")) - 1
     rows = rows.select("source_no", "n", "shards", F.explode(F.sequence(F.col("part") * SLOTS, last)).alias("slot"))
     turn = F.floor(F.col("slot") / F.col("n"))
     rows = rows.withColumn("pass", turn)
-    block = permuted(F.pmod("slot", "n"), F.col("n"), F.col("source_no"), F.col("pass"))
+    block = F.coalesce(permuted(F.pmod("slot", "n"), F.col("n"), F.col("source_no"), F.col("pass")), F.lit(0).cast("bigint"))
     shard = F.pmod(F.xxhash64(F.lit(SEED + 2), "source_no", "slot"), F.greatest(F.col("shards"), F.lit(1)))
     return rows.select("source_no", "slot", "pass", block.alias("block"), shard.alias("shard"))
 
@@ -138,11 +140,12 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     rows, sources = _plan(docs)
     times = slots(sources).groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    met = pieces(rows).join(times, ["source_no", "block"])
+    # Spark takes slots for as small as the sources they unfold from, and would broadcast them.
+    met = pieces(rows).join(times.hint("merge"), ["source_no", "block"])
     taken = met.groupBy("source_no", "first_word").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     # Rows with words start at different places of their stream; those without are taken 0 times.
     taken = taken.withColumn("has", F.lit(True))
-    out = rows.withColumn("has", F.col("size") > 0).join(taken, ["source_no", "first_word", "has"], "left")
+    out = rows.withColumn("has", F.col("size") > 0).join(taken.hint("merge"), ["source_no", "first_word", "has"], "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
@@ -154,7 +157,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     words, does not come.
     """
     rows, sources = _plan(docs)
-    met = pieces(rows).join(slots(sources).select("source_no", "block", "pass", "shard"), ["source_no", "block"])
+    met = pieces(rows).join(slots(sources).select("source_no", "block", "pass", "shard").hint("merge"), ["source_no", "block"])
     spans = met.groupBy("source_no", "first_word", "pass").agg(
         F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("spans"),
         F.first("doc_id").alias("d"), F.first("source").alias("s"), F.first("size").alias("z"), F.first("text_key").alias("k"),
@@ -176,7 +179,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform("spans", part), "")
 
     # Bound as a variable, the words of a text are split once, not once a span.
-    cut = texts.join(spans, same).withColumn("text", F.transform(F.array(every), picked)[0])
+    cut = texts.join(spans.hint("merge"), same).withColumn("text", F.transform(F.array(every), picked)[0])
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
     return cut.select(*docs.columns)
