@@ -26,6 +26,8 @@ def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) ->
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
 
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    too_many = F.raise_error(F.lit("a partition has more rows than its row bits count")).cast("bigint")
+    sizes = sizes.withColumn("_n", F.when(F.col("_n") < 1 << _ROW_BITS, F.col("_n")).otherwise(too_many))
     before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
     offsets = F.broadcast(sizes.select("_part", before.alias("_before")))
     return (

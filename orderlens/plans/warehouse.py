@@ -19,8 +19,10 @@ from orderlens.sources.tables import session_of
 SOURCE_FACTS = (
     "fact_order", "fact_order_item", "fact_delivery", "fact_delivery_item", "fact_shipment", "fact_shipment_item",
 )
-# Order of the analytics ids: the item, its first shipment, then the deliveries.
-ANALYTICS_ORDER = ["order_id", "item_number", "shipment_id", "delivery_id", "delivery_item"]
+# Order of the analytics ids: the item, its first shipment, the deliveries, then what is left to tell rows apart.
+ANALYTICS_ORDER = [
+    "order_id", "item_number", "shipment_id", "delivery_id", "delivery_item", "delivery_time_days", "on_time",
+]
 
 
 def dim_carrier(shipments: DataFrame) -> DataFrame:
@@ -40,8 +42,8 @@ def dim_product(*items: DataFrame) -> DataFrame:
 def number_analytics(rows: DataFrame, after: int = 0) -> DataFrame:
     """Analytics rows with their dense ``analytics_id``, counting on from ``after``.
 
-    Rows that carry their delivery's key have a total order, so ids repeat from run to
-    run; without it, rows equal in all the order columns are interchangeable.
+    Rows equal in all the order columns are equal in all that is loaded, so ids repeat
+    from run to run, whether the rows carry their delivery's key or not.
     """
     order = [c for c in ANALYTICS_ORDER if c in rows.columns]
     numbered = dense_ids(rows, order, "analytics_id", after)
@@ -86,9 +88,10 @@ def load(
 
     Loading replaces the rows, so it can be run again; ``append`` adds to them instead.
     ``analytics`` takes analytics rows written earlier; otherwise they are built from the
-    sheets, unless ``with_analytics`` is off, which leaves that table empty. Text longer
-    than its column and numbers out of range fail the insert, and ``validate`` fails the
-    load on primary and foreign key violations, naming the rules.
+    sheets, unless ``with_analytics`` is off, which leaves that table empty. ``validate``
+    checks primary and foreign keys of what the tables are to hold before anything is
+    written, and fails naming the rules, so a rejected load leaves the tables as they were.
+    Text longer than its column fails its insert.
     """
     spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))
@@ -97,17 +100,25 @@ def load(
         target = rows.select(*[named(c) for c, _ in table_columns(name)]).write
         target.insertInto(f"{database}.{name}", overwrite=not append)
 
-    sourced = [n for n in LOAD_ORDER if n != "fact_delivery_analytics"]
-    run_together([lambda n=n, rows=table(sheets, n): insert(n, rows) for n in sourced])
+    present = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+    coming = {n: table(sheets, n) for n in LOAD_ORDER if n != "fact_delivery_analytics"}
     if with_analytics:
-        target = spark.table(f"{database}.fact_delivery_analytics")
-        last = target.agg(F.max("analytics_id")).first()[0] if append else None
+        last = present["fact_delivery_analytics"].agg(F.max("analytics_id")).first()[0] if append else None
         rows = Marts(sheets).analytics_rows if analytics is None else analytics
-        insert("fact_delivery_analytics", number_analytics(rows, last or 0))
-    loaded = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+        coming["fact_delivery_analytics"] = number_analytics(rows, last or 0)
     if validate:
-        require_keys(loaded)
-    return loaded
+        empty = {n: df.limit(0) for n, df in present.items()}
+        require_keys({n: _to_hold(present[n] if append else empty[n], coming.get(n), n) for n in LOAD_ORDER})
+    # Dimensions and facts are independent once checked; analytics refers to landed rows only.
+    run_together([lambda n=n, rows=rows: insert(n, rows) for n, rows in coming.items()])
+    return {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+
+
+def _to_hold(present: DataFrame, coming: DataFrame | None, name: str) -> DataFrame:
+    """Rows of a table after the load."""
+    if coming is None:
+        return present
+    return present.unionByName(coming.select(*[named(c).cast(t).alias(c) for c, t in table_columns(name)]))
 
 
 def require_keys(tables: Mapping[str, DataFrame]) -> None:

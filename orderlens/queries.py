@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,7 +101,8 @@ def fact_delivery_analytics(b: Bridge) -> DataFrame:
 
 @_query
 def load_warehouse(b: Bridge) -> DataFrame:
-    loaded = warehouse.load(b.sheets().landed(*_ITEMS))
+    # A database per call: the result stays this folder's, whatever is loaded later.
+    loaded = warehouse.load(b.sheets().landed(*_ITEMS), f"orderlens_dw_{uuid.uuid4().hex}")
     return stack_rows([_report_rows(df, name) for name, df in loaded.items()])
 
 

@@ -1,7 +1,7 @@
 """The eight source sheets, derived from TPC-H-like ``orders`` and ``lineitem`` tables.
 
 Deliveries and shipments do not exist in those tables. A delivery is taken to be the
-finished lines (``l_linestatus = 'F'``) of one order from one shipping point, and each
+finished lines (``l_linestatus = 'F'``) of one order from one supplier, and each
 delivery travels as one shipment. Columns without a counterpart are null.
 """
 
@@ -10,15 +10,15 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.schema import SHEETS
 from orderlens.sources.tables import LazyTables
 
-# Suppliers share this many shipping points, so order * points + point stays a unique
-# BIGINT at any number of suppliers.
-SHIPPING_POINTS = 10_000
+# A delivery's id is its order's times this plus the number of its supplier within the order.
+# An order of more suppliers fails instead of sharing ids.
+DELIVERIES_PER_ORDER = 10_000
 SHIPMENT_ID_BASE = 10_000_000_000
 REQUESTED_AFTER_DAYS = 30
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -159,9 +159,15 @@ class Bridge:
 
     # -- deliveries and shipments -------------------------------------------
     def _finished(self, *extra_keys: str) -> DataFrame:
-        """Finished lines per (order, shipping point[, line])."""
+        """Finished lines per (order, supplier[, line]).
+
+        Suppliers are numbered within their order after the lines are aggregated, so the window
+        sees an order's suppliers and never all its lines.
+        """
         lines = self.table("lineitem").where("l_linestatus = 'F'")
-        keys = ["l_orderkey", F.pmod("l_suppkey", F.lit(SHIPPING_POINTS)).alias("point"), *extra_keys]
+        keys = ["l_orderkey", F.col("l_suppkey").alias("point"), *extra_keys]
+        number = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("point")) - 1
+        too_many = F.raise_error(F.concat(F.lit("more deliveries than ids in order "), "l_orderkey"))
         ship_day = F.col("l_shipdate").cast("date")
         return lines.groupBy(*keys).agg(
             F.max(ship_day).alias("last_day"),
@@ -171,7 +177,9 @@ class Bridge:
             F.min("l_partkey").alias("part"),
             F.sum(_whole("l_quantity", 3)).alias("quantity"),
             F.max(_whole("l_extendedprice", 2)).alias("price"),
-        ).withColumn("delivery", F.col("l_orderkey") * SHIPPING_POINTS + F.col("point"))
+        ).withColumn("number", number).withColumn("delivery", F.when(
+            F.col("number") < DELIVERIES_PER_ORDER, F.col("l_orderkey") * DELIVERIES_PER_ORDER + F.col("number")
+        ).otherwise(too_many.cast("bigint")))
 
     def _finished_with_order(self, with_order: bool, *extra_keys: str) -> tuple[DataFrame, dict[str, Column]]:
         lines = self._finished(*extra_keys)
@@ -191,7 +199,7 @@ class Bridge:
             "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
             "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
             "Shipping Status": _decode(F.col("first_flag"), {"A": "Not Shipped"}, F.lit("Shipped")),
-            "Route": F.col("point").cast("int"),
+            "Route": F.col("number").cast("int"),
         })
 
     def lips(self, with_order: bool = True) -> DataFrame:
@@ -220,7 +228,7 @@ class Bridge:
             "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
             "Carrier": F.concat(F.lit("Carrier"), (F.col("point") % 3 + 1).cast("string")),
             "Shipment Status": _decode(F.col("last_flag"), {"N": "Delivered"}, F.lit("In Transit")),
-            "Route": F.col("point").cast("int"),
+            "Route": F.col("number").cast("int"),
         })
 
     def vttp(self, with_order: bool = True) -> DataFrame:

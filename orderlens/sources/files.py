@@ -22,8 +22,14 @@ log = logging.getLogger(__name__)
 EXPORT_ROWS_PER_FILE = 5_000_000
 
 
-def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+# Quotes inside a quoted value are doubled, as BI tools and spreadsheets write and read them.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
+    reader = spark.read
+    if fmt == "csv":
+        reader = reader.options(header=True, multiLine=multi_line, **QUOTING)
     try:
         return trim_headers(reader.format(fmt).load(path))
     except AnalysisException as error:
@@ -32,14 +38,15 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
         raise
 
 
-def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """One source sheet with declared types, matched by trimmed header name.
 
     Text files are read as text, so that codes such as a postal ``00100`` or a country
     ``NA`` survive; dates stay text for the parse check. Values that do not fit their
-    declared type become null.
+    declared type become null. Values may hold line breaks; ``multi_line=False`` says that
+    none does, which lets Spark split large CSV files.
     """
-    df = _read(spark, path, fmt)
+    df = _read(spark, path, fmt, multi_line)
     missing = [h for h in SHEETS[name].headers if h not in df.columns]
     if missing:
         raise ValueError(f"{name}: missing columns {missing}")
@@ -95,6 +102,7 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("lineSep", line_sep)
+        .options(**QUOTING)
         .option("maxRecordsPerFile", EXPORT_ROWS_PER_FILE)
         .csv(path)
     )

@@ -1,6 +1,7 @@
 """Files in and out, and the warehouse tables."""
 
 import csv
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ from orderlens.plans import quality, warehouse
 from orderlens.schema import LOAD_ORDER, SHEETS, table_columns
 from orderlens.session import shared_dir, work_path
 from orderlens.sources import files
+from orderlens.sources.bridge import Bridge
 from tests.fixture_sheets import rows
 
 
@@ -149,3 +151,30 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_a_rejected_load_leaves_the_tables(spark, sheets):
+    warehouse.load(sheets, "kept_dw", with_analytics=False)
+    doubled = dict(sheets) | {"LFA1": sheets["LFA1"].unionByName(sheets["LFA1"])}
+    for append in (False, True):
+        with pytest.raises(ValueError, match="dim_vendor primary key"):
+            warehouse.load(doubled, "kept_dw", with_analytics=False, append=append)
+        assert spark.table("kept_dw.dim_vendor").count() == 30
+
+
+def test_csv_quotes_commas_and_line_breaks_round_trip(spark, sheets, tmp_path):
+    rows = sheets["LFA1"].limit(2).withColumn("Vendor Name", F.lit('Acme "Best", Inc')).withColumn("City", F.lit("a\nb"))
+    files.write_csv(rows, str(tmp_path / "LFA1.csv"))
+    back = files.read_sheet(spark, str(tmp_path / "LFA1.csv"), "LFA1")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.select(*back.columns).collect()))
+    text = "".join(p.read_text() for p in (tmp_path / "LFA1.csv").glob("part-*"))
+    assert '"Acme ""Best"", Inc"' in text
+
+
+def test_suppliers_of_an_order_keep_their_own_deliveries(spark, tmp_path):
+    line = "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_linestatus string, l_returnflag string, l_shipdate date"
+    day = date(2024, 1, 1)
+    rows = [(7, 1, 5, 1, 1.0, 2.0, "F", "N", day), (7, 2, 10005, 1, 1.0, 2.0, "F", "N", day), (7, 3, 5, 1, 1.0, 2.0, "F", "N", day)]
+    spark.createDataFrame(rows, line).write.parquet(str(tmp_path / "lineitem.parquet"))
+    likp = Bridge(spark, str(tmp_path)).likp(with_order=False)
+    assert sorted(r["Delivery Number"] for r in likp.collect()) == [70000, 70001]
