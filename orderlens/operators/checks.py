@@ -12,9 +12,6 @@ from orderlens.functions import any_null, lenient_date, looks_corrupted, named
 from orderlens.operators.joins import orphan_values, repeated_keys
 from orderlens.session import materialize
 
-# Most rows of keys that are sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
 
 def stack_rows(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -52,13 +49,12 @@ def duplicates(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
     Copies of a row share its key. So the repeated keys are found first, from the key
     columns alone, and only their rows are compared whole: clean data never shuffles a
-    row. The repeated keys are written down to know their number; few enough are
-    broadcast, more are joined by shuffle.
+    row. The repeated keys are written once, as two results read them; Spark chooses
+    the join from the size of what was written.
     """
     repeated = materialize(repeated_keys(df, keys), "repeated")
-    few = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
-    same_key = reduce(and_, [df[f"`{k}`"].eqNullSafe(few[f"`{k}`"]) for k in keys])
-    suspects = df.join(few, same_key, "left_semi")
+    same_key = reduce(and_, [df[f"`{k}`"].eqNullSafe(repeated[f"`{k}`"]) for k in keys])
+    suspects = df.join(repeated, same_key, "left_semi")
     rows = suspects.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
     return stack_rows([
         _as_rows(table, repeated.agg(_total("n").alias("duplicate_primary_key"))),

@@ -14,14 +14,14 @@ def trim_headers(df: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame, column: SheetColumn) -> Column:
-    """The column under its declared type; values that do not fit become null."""
+    """The column under its declared type; a number that does not fit fails, a date that is none is null."""
     have, want = df.schema[column.header].dataType.simpleString(), column.spark_type
     source = named(column.header)
     if have == want:
         return source
     if want == "date" and have == "string":
         return lenient_date(source)
-    return source.try_cast(want)
+    return source.cast(want)
 
 
 def to_mart(df: DataFrame, sheet: str) -> DataFrame:
@@ -33,3 +33,9 @@ def to_table(df: DataFrame, sheet: str) -> DataFrame:
     """Sheet columns under the warehouse names, in table order."""
     by_name = {c.warehouse: c for c in SHEETS[sheet].columns}
     return df.select(*[_typed(df, by_name[n]).alias(n) for n in SHEETS[sheet].table_order])
+
+
+def to_untyped_table(df: DataFrame, sheet: str) -> DataFrame:
+    """Sheet columns under the warehouse names with their values as they came, for checks before a load."""
+    by_name = {c.warehouse: c for c in SHEETS[sheet].columns}
+    return df.select(*[named(by_name[n].header).alias(n) for n in SHEETS[sheet].table_order])

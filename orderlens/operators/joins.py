@@ -39,7 +39,7 @@ def guard_unique(result: DataFrame, one: DataFrame, keys: list[str], what: str)
 
 
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame, right: DataFrame, on: list[str], row_key: list[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Left join for a right side whose rows may pile up on a few keys.
 
@@ -50,13 +50,14 @@ def fanout_left_join(
     bounds the broadcast. A hot key has matches by definition, so the unmatched rows its
     copies may leave on an empty salt are dropped; every other row is joined as usual.
 
-    The salt hashes the row and its partition, both the same when a task is run again.
+    The salt hashes ``row_key``, the columns that tell the right rows of a key apart, and the
+    partition: both are the same when a task is run again, and no other column has to be read.
     """
     right = right.dropna(subset=on)
     sizes = right.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
     hot = F.broadcast(sizes.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
 
-    deal = F.pmod(F.xxhash64(*[named(c) for c in right.columns], F.spark_partition_id()), F.col("_salts"))
+    deal = F.pmod(F.xxhash64(*[named(c) for c in row_key], F.spark_partition_id()), F.col("_salts"))
     dealt = right.join(hot, on, "left").select(
         *[named(c) for c in right.columns],
         F.coalesce(deal.cast("int"), F.lit(0)).alias("_salt"),

@@ -14,12 +14,17 @@ ORDER_STATUSES = ("Open", "Delivered", "Closed")
 
 
 def country_status_matrix(fact_order: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Orders per country and status. Orders are counted per customer before the join."""
+    """Orders per country and status, those of another or no status as ``other``.
+
+    Orders are counted per customer before the join.
+    """
     counted = fact_order.groupBy("customer_id", "order_status").agg(F.count("*").alias("n"))
     placed = counted.join(dim_customer.select("customer_id", "country"), "customer_id", "left")
     cells = [
         zero_if_null(F.sum(F.when(F.col("order_status") == s, F.col("n")))).alias(s.lower()) for s in ORDER_STATUSES
     ]
+    known = F.coalesce(F.col("order_status").isin(*ORDER_STATUSES), F.lit(False))
+    cells.append(zero_if_null(F.sum(F.when(~known, F.col("n")))).alias("other"))
     return placed.groupBy("country").agg(*cells)
 
 

@@ -12,14 +12,24 @@ from orderlens.functions import day_gap, distinct_text, on_time, zero_if_null
 from orderlens.operators.conform import to_mart
 from orderlens.operators.joins import fanout_left_join, guard_unique
 from orderlens.session import run_together
+from orderlens.sources.files import write_csv
 from orderlens.sources.tables import session_of
 
 ITEM_KEY = ["order_id", "item_number"]
+# Order of the rows in CSV output.
+SORT_KEYS = {
+    "order_items": ITEM_KEY,
+    "delivery_items": ["delivery_id", "item_number"],
+    "shipment_items": ["shipment_id", "item_number"],
+    "item_delivery_performance": ITEM_KEY,
+    "order_summary": ["order_id"],
+    "delivery_analytics": ITEM_KEY,
+}
 
 
 def order_lines(headers: DataFrame, items: DataFrame) -> DataFrame:
     """Every order with its items; an order without items keeps one row, items null."""
-    joined = fanout_left_join(headers, items, ["order_id"])
+    joined = fanout_left_join(headers, items, ["order_id"], ["item_number"])
     return guard_unique(joined, headers, ["order_id"], "order header to item")
 
 
@@ -67,7 +77,7 @@ def match_deliveries(lines: DataFrame, delivered: DataFrame) -> DataFrame:
     row with a null date, gap and flag. One item may own a huge share of the deliveries,
     hence the fan-out join.
     """
-    matched = fanout_left_join(lines, _deliveries_of_items(delivered), ITEM_KEY)
+    matched = fanout_left_join(lines, _deliveries_of_items(delivered), ITEM_KEY, ["delivery_id", "delivery_item"])
     return matched.withColumns({
         "delivery_gap_days": day_gap(F.col("delivery_date"), F.col("requested_delivery_date")),
         "on_time_proxy": on_time(F.col("delivery_date"), F.col("requested_delivery_date")),
@@ -256,3 +266,8 @@ def write_marts(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFra
         "item_delivery_performance": item_delivery_performance(lines, delivered),
         "delivery_analytics": delivery_analytics(lines, delivered, shipped),
     })
+
+
+def export_marts(written: Mapping[str, DataFrame], root: str) -> None:
+    """The tables that ``write_marts`` wrote as CSV, each sorted by its key."""
+    run_together([lambda n=n, df=df: write_csv(df, f"{root}/{n}", order_by=SORT_KEYS[n]) for n, df in written.items()])

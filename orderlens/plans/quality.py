@@ -7,18 +7,20 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import any_null, named
+from orderlens.functions import any_null, lenient_date, named
 from orderlens.operators import checks
 from orderlens.operators.checks import stack_rows
 from orderlens.operators.joins import orphan_rows, orphan_values, repeated_keys
 from orderlens.schema import (
     DATE_RULES, DELIVERED, FOREIGN_KEYS, PRIMARY_KEYS, REFERENCE_RULES, SHEETS, SUSPECT_NUMBER_RULES, table_columns,
 )
-from orderlens.session import run_together
+from orderlens.session import materialize, run_together
+from orderlens.sources.files import write_csv
 
 Tables = Mapping[str, DataFrame]
 
 
+# Check and rule names are fixed values.
 # -- source sheets ----------------------------------------------------------
 def profile(sheets: Tables) -> DataFrame:
     return stack_rows([checks.profile(df, n, list(SHEETS[n].key)) for n, df in sheets.items()])
@@ -109,6 +111,11 @@ def report(sheets: Tables) -> DataFrame:
     ])
 
 
+def export_report(rows: DataFrame, path: str) -> None:
+    """The report as CSV, sorted by table and check. It is written first: sorting by range reads it twice."""
+    write_csv(materialize(rows, "report"), path, order_by=["table", "check"])
+
+
 def nonnegative_quantities(sheets: Tables) -> DataFrame:
     return stack_rows([
         checks.negative_values(sheets["VBAP"], "VBAP", "Quantity"),
@@ -171,9 +178,11 @@ def foreign_key_violations(tables: Tables) -> DataFrame:
     ])
 
 
-def _fits(column: str, sql_type: str) -> tuple[F.Column, F.Column]:
-    """(violation, longest text) of a value against its declared type."""
+def _fits(column: str, have: str, sql_type: str) -> tuple[F.Column, F.Column]:
+    """(violation, longest text) of a value of type ``have`` against its declared type."""
     col = named(column)
+    if sql_type == "DATE" and have == "string":
+        return col.isNotNull() & lenient_date(col).isNull(), F.lit(None).cast("int")
     if sql_type.startswith("VARCHAR"):
         limit = int(sql_type[len("VARCHAR("):-1])
         return F.length(col) > limit, F.max(F.length(col))
@@ -181,13 +190,17 @@ def _fits(column: str, sql_type: str) -> tuple[F.Column, F.Column]:
 
 
 def type_violations(tables: Tables) -> DataFrame:
-    """Values too long or out of range for their declared column, in one scan per table."""
+    """Values too long, out of range or of another kind for their declared column, in one scan per table.
+
+    Give it tables whose values are as they came, see ``warehouse.untyped_tables``: a typed column holds
+    nothing that does not fit.
+    """
     frames = []
     for name, df in tables.items():
         columns = [(c, t) for c, t in table_columns(name) if c in df.columns]
         measures = []
         for column, sql_type in columns:
-            bad, longest = _fits(column, sql_type)
+            bad, longest = _fits(column, df.schema[column].dataType.simpleString(), sql_type)
             measures.append(F.struct(
                 F.lit(column).alias("column"), F.lit(sql_type).alias("declared"),
                 longest.alias("longest"), F.count_if(bad).alias("violating_rows"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions import named
-from orderlens.operators.conform import to_table
+from orderlens.operators.conform import to_table, to_untyped_table
 from orderlens.operators.numbering import dense_ids
 from orderlens.plans import quality
 from orderlens.plans.marts import Marts
@@ -67,6 +67,13 @@ def tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: table(sheets, name) for name in LOAD_ORDER}
 
 
+def untyped_tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with their sheets' values as they came; derived tables as they are built."""
+    found = {n: to_untyped_table(sheets[s], s) for n, s in SHEET_OF_TABLE.items()}
+    found["dim_carrier"], found["dim_product"] = table(sheets, "dim_carrier"), table(sheets, "dim_product")
+    return {n: found[n] for n in LOAD_ORDER if n in found}
+
+
 def create_schema(spark: SparkSession, database: str, location: str) -> None:
     """Database and empty tables where absent. Keys are checked, not declared: see ``quality``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
@@ -91,7 +98,8 @@ def load(
     sheets, unless ``with_analytics`` is off, which leaves that table empty. ``validate``
     checks primary and foreign keys of what the tables are to hold before anything is
     written, and fails naming the rules, so a rejected load leaves the tables as they were.
-    Text longer than its column fails its insert.
+    Text longer than its column fails its insert, and a number out of its column's range fails
+    the load; ``quality.type_violations`` of ``untyped_tables`` counts both beforehand.
     """
     spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))

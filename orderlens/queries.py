@@ -14,7 +14,7 @@ from orderlens.operators.checks import stack_rows
 from orderlens.plans import feeders, kpis, quality, warehouse
 from orderlens.plans.marts import Marts, preview, write_marts
 from orderlens.schema import SHEETS
-from orderlens.session import tune, work_path
+from orderlens.session import materialize, tune, work_path
 from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
 
@@ -114,6 +114,20 @@ def bi_export_shape(b: Bridge) -> DataFrame:
     return files.shape({n: b.spark.read.option("header", True).csv(f"{root}/{n}") for n in tables})
 
 
+@_query
+def csv_round_trip(b: Bridge) -> DataFrame:
+    """Rows and nulls per column of tables written as CSV, sorted by key, and read back."""
+    root = work_path(b.spark, "csv")
+    summary = Marts(b.lean_sheets(requested_date=True).landed(*_ITEMS)).order_summary
+    tables = {
+        "dim_customer": (warehouse.table({"KNA1": b.kna1_with_addresses()}, "dim_customer"), ["customer_id"]),
+        "order_summary": (summary, ["order_id"]),
+    }
+    for name, (df, keys) in tables.items():
+        files.write_csv(materialize(df, name), f"{root}/{name}", order_by=keys)
+    return stack_rows([files.null_counts(files.read_csv(b.spark, f"{root}/{name}"), name) for name in tables])
+
+
 # -- derived tables ---------------------------------------------------------
 @_query
 def order_items(b: Bridge) -> DataFrame:
@@ -340,7 +354,7 @@ def dq_join_cardinality(b: Bridge) -> DataFrame:
 
 @_query
 def dq_grain_check(b: Bridge) -> DataFrame:
-    sheets = b.lean_sheets()
+    sheets = b.lean_sheets().landed(*_LINE_SHEETS)
     marts = Marts(sheets)
     key = "`Sales Document`"
     itemless = sheets["VBAK"].join(sheets["VBAP"].select(key).distinct(), "Sales Document", "left_anti")
@@ -376,4 +390,7 @@ def dw_fk_violations(b: Bridge) -> DataFrame:
 
 @_query
 def dw_length_violations(b: Bridge) -> DataFrame:
-    return quality.type_violations(_unnumbered_tables(b.sheets().landed(*_LINE_SHEETS)))
+    """Values as they come, with customer groups from a feed that mixes names and numbers."""
+    sheets = b.sheets().landed(*_LINE_SHEETS)
+    found = warehouse.untyped_tables(sheets.replace(KNA1=b.kna1_mixed_groups))
+    return quality.type_violations(found | {"fact_delivery_analytics": Marts(sheets).delivery_analytics})

@@ -41,9 +41,9 @@ class Sheet:
         return [c.header for c in self.columns]
 
 
-def _sheet(name: str, table: str, key: tuple[str, ...], columns: list[tuple], order: str = "") -> Sheet:
+def _sheet(name: str, table: str, key: tuple[str, ...], columns: list[tuple], order: tuple[str, ...] = ()) -> Sheet:
     cols = tuple(Column(*c) for c in columns)
-    return Sheet(name, table, key, cols, tuple(order.split()) or tuple(c.warehouse for c in cols))
+    return Sheet(name, table, key, cols, order or tuple(c.warehouse for c in cols))
 
 
 # --- fixed values: the eight source sheets ---------------------------------
@@ -91,8 +91,10 @@ SHEETS: dict[str, Sheet] = {
             ("Distribution Channel", "INT", "distribution_channel"),
             ("Division", "INT", "division"),
             ("Order Status", "VARCHAR(50)", "order_status"),
-        ], "order_id customer_id order_date order_type sales_organization"
-           " distribution_channel division order_status"),
+        ], (
+            "order_id", "customer_id", "order_date", "order_type", "sales_organization", "distribution_channel",
+            "division", "order_status",
+        )),
         _sheet("VBAP", "fact_order_item", ("Sales Document", "Item Number"), [
             ("Sales Document", "BIGINT", "order_id"),
             ("Item Number", "INT", "item_number"),
@@ -113,8 +115,10 @@ SHEETS: dict[str, Sheet] = {
             ("Route", "INT", "route"),
             ("Delivery Priority", "VARCHAR(30)", "delivery_priority"),
             ("Customer ID", "VARCHAR(30)", "customer_id"),
-        ], "delivery_id order_id customer_id delivery_date delivery_status shipping_status"
-           " shipping_point shipping_type route delivery_priority"),
+        ], (
+            "delivery_id", "order_id", "customer_id", "delivery_date", "delivery_status", "shipping_status",
+            "shipping_point", "shipping_type", "route", "delivery_priority",
+        )),
         _sheet("LIPS", "fact_delivery_item", ("Delivery Number", "Item Number"), [
             ("Delivery Number", "BIGINT", "delivery_id"),
             ("Item Number", "INT", "item_number"),
@@ -126,8 +130,10 @@ SHEETS: dict[str, Sheet] = {
             ("Sales Document", "BIGINT", "order_id"),
             ("Sales Item", "INT", "sales_item"),
             ("Delivery Date", "DATE", "delivery_date"),
-        ], "delivery_id item_number product_id order_id customer_id sales_item"
-           " delivered_quantity net_price item_delivery_status delivery_date"),
+        ], (
+            "delivery_id", "item_number", "product_id", "order_id", "customer_id", "sales_item", "delivered_quantity",
+            "net_price", "item_delivery_status", "delivery_date",
+        )),
         _sheet("VTTK", "fact_shipment", ("Shipment Number",), [
             ("Shipment Number", "BIGINT", "shipment_id"),
             ("Shipment Date", "DATE", "shipment_date", "shipment_header_date"),
@@ -139,8 +145,10 @@ SHEETS: dict[str, Sheet] = {
             ("Route", "INT", "route"),
             ("Shipping Type", "VARCHAR(50)", "shipping_type"),
             ("Customer ID", "VARCHAR(30)", "customer_id", "header_customer_id"),
-        ], "shipment_id delivery_id order_id customer_id carrier_name shipping_point"
-           " shipment_date shipment_status route shipping_type"),
+        ], (
+            "shipment_id", "delivery_id", "order_id", "customer_id", "carrier_name", "shipping_point",
+            "shipment_date", "shipment_status", "route", "shipping_type",
+        )),
         _sheet("VTTP", "fact_shipment_item", ("Shipment Number", "Item Number"), [
             ("Shipment Number", "BIGINT", "shipment_id"),
             ("Item Number", "INT", "item_number"),
@@ -152,8 +160,10 @@ SHEETS: dict[str, Sheet] = {
             ("Sales Document", "BIGINT", "order_id"),
             ("Sales Item", "INT", "sales_item"),
             ("Shipment Date", "DATE", "shipment_date"),
-        ], "shipment_id item_number product_id delivery_id order_id customer_id sales_item"
-           " shipped_quantity item_status shipment_date"),
+        ], (
+            "shipment_id", "item_number", "product_id", "delivery_id", "order_id", "customer_id", "sales_item",
+            "shipped_quantity", "item_status", "shipment_date",
+        )),
     )
 }
 

@@ -87,6 +87,17 @@ class Bridge:
             "Customer Group": segment,
         })
 
+    def kna1_mixed_groups(self) -> DataFrame:
+        """KNA1 as text from two feeds: one of them names the machinery group instead of numbering it."""
+        group = F.col("Customer Group")
+        text = F.when(group == len(SEGMENTS), SEGMENTS[-1]).otherwise(group.cast("string"))
+        return self.kna1().withColumn("Customer Group", text)
+
+    def kna1_with_addresses(self) -> DataFrame:
+        """KNA1 with addresses that hold quotes, commas and line breaks."""
+        place = F.concat(F.lit('c/o "'), F.col("Customer Name"), F.lit('", Main\nStreet, '), F.col("Customer ID"))
+        return self.kna1().withColumn("Street Address", place)
+
     def lfa1(self) -> DataFrame:
         df = self.table("supplier").join(self._places(), F.col("s_nationkey") == F.col("n_nationkey"), "left")
         return _fill(df, "LFA1", {

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -38,30 +38,32 @@ def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) ->
         raise
 
 
-def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", multi_line: bool = True,
+               typed: bool = True) -> DataFrame:
     """One source sheet with declared types, matched by trimmed header name.
 
     Text files are read as text, so that codes such as a postal ``00100`` or a country
-    ``NA`` survive; dates stay text for the parse check. Values that do not fit their
-    declared type become null. Values may hold line breaks; ``multi_line=False`` says that
+    ``NA`` survive; dates stay text for the parse check. A number that does not fit its
+    declared type fails the query; ``typed=False`` leaves all columns of a text file as text, for
+    ``quality.type_violations`` to count such values first. Values may hold line breaks; ``multi_line=False`` says that
     none does, which lets Spark split large CSV files.
     """
     df = _read(spark, path, fmt, multi_line)
     missing = [h for h in SHEETS[name].headers if h not in df.columns]
     if missing:
         raise ValueError(f"{name}: missing columns {missing}")
-    if fmt != "csv":
+    if fmt != "csv" or not typed:
         return df.select(*[named(h) for h in SHEETS[name].headers])
     return df.select(*[
-        named(c.header) if c.spark_type in ("string", "date") else named(c.header).try_cast(c.spark_type).alias(c.header)
+        named(c.header) if c.spark_type in ("string", "date") else named(c.header).cast(c.spark_type).alias(c.header)
         for c in SHEETS[name].columns
     ])
 
 
-def read_sheets(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def read_sheets(spark: SparkSession, root: str, fmt: str = "csv", typed: bool = True) -> dict[str, DataFrame]:
     """All eight sheets from ``root/<name>`` (``root/<name>.csv`` for CSV files)."""
     suffix = ".csv" if fmt == "csv" else ""
-    return {name: read_sheet(spark, f"{root}/{name}{suffix}", name, fmt) for name in SHEETS}
+    return {name: read_sheet(spark, f"{root}/{name}{suffix}", name, fmt, typed=typed) for name in SHEETS}
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
@@ -96,8 +98,14 @@ def shape(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
-    """CSV with a header, as a folder of parts; every part carries the header."""
+def write_csv(df: DataFrame, path: str, line_sep: str = "\n", order_by: Sequence[str] = ()) -> None:
+    """CSV with a header, as a folder of parts; every part carries the header.
+
+    ``order_by`` deals the rows over the parts by range and sorts each, so that the parts in the order
+    of their names are sorted as a whole. Give it a written table, which is read twice.
+    """
+    if order_by:
+        df = df.repartitionByRange(*[named(c) for c in order_by]).sortWithinPartitions(*[named(c) for c in order_by])
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -108,6 +116,18 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
     )
 
 
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_csv`` wrote, all columns as text."""
+    return _read(spark, path, "csv")
+
+
+def null_counts(df: DataFrame, name: str) -> DataFrame:
+    """Rows and nulls per column, in one scan."""
+    held = [F.struct(F.lit(c).alias("column"), F.count_if(named(c).isNull()).alias("null_count")) for c in df.columns]
+    counts = df.agg(F.count("*").alias("row_count"), F.array(*held).alias("held"))
+    return counts.select(F.lit(name).alias("table"), "row_count", F.inline("held"))
+
+
 def export_for_bi(tables: Mapping[str, DataFrame], root: str) -> None:
     """CRLF CSV per warehouse table, flags as 0/1 as the BI tool expects."""
 

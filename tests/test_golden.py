@@ -7,8 +7,9 @@ import pytest
 
 from orderlens.operators.conform import to_table
 from orderlens.plans import feeders, kpis, quality, warehouse
-from orderlens.plans.marts import Marts, preview, write_marts
+from orderlens.plans.marts import Marts, export_marts, preview, write_marts
 from orderlens.session import work_path
+from orderlens.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +200,15 @@ def test_written_marts_equal_the_lazy_ones(spark, sheets, marts):
     for name, df in marts.all().items():
         assert written[name].columns == df.columns
         assert sorted(tuples(written[name]), key=str) == sorted(tuples(df), key=str), name
+
+
+def test_csv_of_the_tables_and_the_report_is_sorted_by_key(spark, sheets):
+    root = work_path(spark, "csv")
+    export_marts(write_marts(sheets, work_path(spark, "marts")), root)
+    quality.export_report(quality.report(sheets), f"{root}/report")
+    summary = files.read_csv(spark, f"{root}/order_summary")
+    rows = [(int(r["order_id"]), r["total_delivered_qty"]) for r in summary.collect()]
+    assert len(rows) == 22 and [r[0] for r in rows] == list(range(1000001, 1000023))
+    assert [float(q) for k, q in rows if k in (1000001, 1000008)] == [300.0, 300.0]
+    assert files.read_csv(spark, f"{root}/report").count() == 128
+    assert files.read_csv(spark, f"{root}/item_delivery_performance").where("delivery_gap_days is null").count() == 2

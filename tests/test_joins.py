@@ -23,7 +23,7 @@ def test_fanout_join_equals_a_left_join(spark, rows_per_task):
     right = [(3 if i % 3 == 0 else rng.choice([None, *range(9)]), rng.randint(0, 2), i % 7) for i in range(300)]
     a = spark.createDataFrame(left, "k int, j int, x int")
     b = spark.createDataFrame(right, "k int, j int, y int").repartition(5)
-    assert bag(fanout_left_join(a, b, ["k", "j"], rows_per_task)) == bag(a.join(b, ["k", "j"], "left"))
+    assert bag(fanout_left_join(a, b, ["k", "j"], b.columns, rows_per_task)) == bag(a.join(b, ["k", "j"], "left"))
 
 
 def test_fanout_join_spreads_a_hot_key(spark):
@@ -31,7 +31,7 @@ def test_fanout_join_spreads_a_hot_key(spark):
     hot = spark.range(0, 30_000, 1, 8).select(F.lit(1).alias("k"), F.lit(0).alias("y"))
     distinct = spark.range(0, 30_000, 1, 8).select(F.lit(2).alias("k"), F.col("id").cast("int").alias("y"))
     left = spark.createDataFrame([(1,), (2,), (9,)], "k int")
-    joined = fanout_left_join(left, hot.unionByName(distinct), ["k"], rows_per_task=5_000)
+    joined = fanout_left_join(left, hot.unionByName(distinct), ["k"], hot.columns, rows_per_task=5_000)
     sizes = joined.groupBy("k").count()
     assert sorted(tuple(r) for r in sizes.collect()) == [(1, 30_000), (2, 30_000), (9, 1)]
     plan = joined._jdf.queryExecution().optimizedPlan().toString()

@@ -116,7 +116,7 @@ def test_duplicates_count_nulls_as_equal(spark):
     assert sorted(tuples(repeated_keys(df, ["k"])), key=str) == [(1, 3), (None, 2)]
 
 
-def test_duplicates_agree_beyond_the_broadcast_bound(spark, monkeypatch):
+def test_duplicates_agree_with_and_without_a_broadcast(spark):
     rows = [(i % 7, None if i % 5 == 0 else i % 3, "v" if i % 2 else None) for i in range(200)]
     df = spark.createDataFrame(rows, "`key one` int, k2 int, v string")
     counts, keys = Counter(rows), Counter(r[:2] for r in rows)
@@ -125,8 +125,12 @@ def test_duplicates_agree_beyond_the_broadcast_bound(spark, monkeypatch):
         "full_row_duplicate": sum(n - 1 for n in counts.values()),
     }
     assert issue(checks.duplicates(df, "t", ["key one", "k2"])) == expected
-    monkeypatch.setattr(checks, "BROADCAST_ROWS", 1)
-    assert issue(checks.duplicates(df, "t", ["key one", "k2"])) == expected
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert issue(checks.duplicates(df, "t", ["key one", "k2"])) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
 
 
 def test_checks_on_an_empty_table(spark):
@@ -269,3 +273,17 @@ def test_bad_dates_become_null(spark, sheets, sheet):
     bad = sheets[sheet].withColumn(column, F.lit("not a date"))
     name = "delivery_date" if sheet == "LIKP" else "shipment_date"
     assert to_table(bad, sheet).select(name).distinct().collect()[0][0] is None
+
+
+def test_values_that_do_not_fit_are_counted_and_fail_the_load(spark, sheets):
+    wide = sheets["VBAP"].withColumn("Quantity", F.when(F.col("Item Number") == 20, F.lit("1" + "0" * 17)).otherwise(F.lit("7")))
+    found = quality.type_violations(warehouse.untyped_tables({**sheets, "VBAP": wide})).where("violating_rows > 0")
+    assert [(r["table"], r["column"], r["violating_rows"]) for r in found.collect()] == [("fact_order_item", "order_quantity", 1)]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_INVALID_INPUT"):
+        warehouse.table({**sheets, "VBAP": wide}, "fact_order_item").collect()
+
+
+def test_orders_of_other_or_no_status_are_in_the_matrix(spark):
+    orders = spark.createDataFrame([("c", "Open"), ("c", "Blocked"), ("c", None)], "customer_id string, order_status string")
+    customers = spark.createDataFrame([("c", "DE")], "customer_id string, country string")
+    assert tuples(feeders.country_status_matrix(orders, customers)) == [("DE", 1, 0, 0, 2)]
