@@ -41,9 +41,9 @@ def zero_if_null(col: Column) -> Column:
     return F.coalesce(col, F.lit(0))
 
 
-def distinct_text(col: Column) -> Column:
-    """Aggregate: distinct non-null values, sorted and joined; '' for an empty group."""
-    return F.concat_ws(", ", F.array_sort(F.collect_set(col)))
+def joined_text(values: Column) -> Column:
+    """The distinct values of an array of texts, sorted and joined; '' for an empty one."""
+    return F.concat_ws(", ", F.array_sort(F.array_distinct(values)))
 
 
 def mean2(total: Column, n: Column) -> Column:

@@ -121,7 +121,7 @@ def customer_fulfillment_pct(fact_order: DataFrame) -> DataFrame:
 
 
 def on_time_rate(analytics: DataFrame) -> DataFrame:
-    """KPI 9, over the delivery analytics that have a verdict."""
+    """KPI 9, over the delivery analytics (or ``marts.on_time_verdicts``) that have a verdict."""
     return analytics.where("on_time IS NOT NULL").agg(
         percent2(F.count_if("on_time"), F.count("*")).alias("on_time_rate_pct"),
         F.count("*").alias("matched_items"),

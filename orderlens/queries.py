@@ -59,8 +59,8 @@ class _Facts:
         return warehouse.table(self.sheets, table)
 
     @property
-    def analytics(self) -> DataFrame:
-        return Marts(self.sheets).delivery_analytics
+    def verdicts(self) -> DataFrame:
+        return Marts(self.sheets).on_time_verdicts
 
 
 def _report_rows(df: DataFrame, label: str, count: str = "row_count") -> DataFrame:
@@ -235,7 +235,7 @@ def kpi08_customer_fulfillment_pct(b: Bridge) -> DataFrame:
 
 @_query
 def kpi09_on_time_rate(b: Bridge) -> DataFrame:
-    return kpis.on_time_rate(_Facts(b, timed=True).analytics)
+    return kpis.on_time_rate(_Facts(b, timed=True).verdicts)
 
 
 @_query
@@ -264,13 +264,13 @@ def geo_orders(b: Bridge) -> DataFrame:
 
 @_query
 def on_time_gauge(b: Bridge) -> DataFrame:
-    return feeders.on_time_gauge(_Facts(b, timed=True).analytics)
+    return feeders.on_time_gauge(_Facts(b, timed=True).verdicts)
 
 
 @_query
 def kpi_cards(b: Bridge) -> DataFrame:
     f = _Facts(b, timed=True)
-    return feeders.kpi_cards(f.fact_order, f.fact_order_item, f.fact_delivery, f.fact_delivery_item, f.analytics)
+    return feeders.kpi_cards(f.fact_order, f.fact_order_item, f.fact_delivery, f.fact_delivery_item, f.verdicts)
 
 
 @_query

@@ -132,8 +132,8 @@ class Bridge:
             "Sales Document": F.col("l_orderkey"),
             "Item Number": F.col("l_linenumber"),
             "Material Number": F.col("l_partkey").cast("string"),
-            "Quantity": F.col("l_quantity").cast("decimal(18,3)"),
-            "Net Price": F.col("l_extendedprice").cast("decimal(18,2)"),
+            "Quantity": _amount(_whole("l_quantity", 3), 3),
+            "Net Price": _amount(_whole("l_extendedprice", 2), 2),
             "Item Status": _decode(_code("l_linestatus"), ITEM_STATUS),
             "Delivery Date": F.col("l_shipdate").cast("date"),
         })
@@ -159,8 +159,8 @@ class Bridge:
             "Sales Document": F.col("l_orderkey"),
             "Item Number": F.col("l_linenumber"),
             "Material Number": F.col("part").cast("string"),
-            "Quantity": _amount("quantity", 3),
-            "Net Price": _amount("price", 2),
+            "Quantity": _amount(F.col("quantity"), 3),
+            "Net Price": _amount(F.col("price"), 2),
             "Item Status": _decode(F.col("status"), ITEM_STATUS),
         }
         if with_order:
@@ -220,8 +220,8 @@ class Bridge:
             "Delivery Number": F.col("delivery"),
             "Item Number": F.col("l_linenumber"),
             "Material Number": F.col("part").cast("string"),
-            "Delivered Quantity": _amount("quantity", 3),
-            "Net Price": _amount("price", 2),
+            "Delivered Quantity": _amount(F.col("quantity"), 3),
+            "Net Price": _amount(F.col("price"), 2),
             "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
             "Sales Document": F.col("l_orderkey"),
             "Sales Item": F.col("l_linenumber"),
@@ -249,7 +249,7 @@ class Bridge:
             "Shipment Number": F.col("delivery") + SHIPMENT_ID_BASE,
             "Item Number": F.col("l_linenumber"),
             "Material Number": F.col("part").cast("string"),
-            "Shipped Quantity": _amount("quantity", 3),
+            "Shipped Quantity": _amount(F.col("quantity"), 3),
             "Item Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
             "Delivery Number": F.col("delivery"),
             "Sales Document": F.col("l_orderkey"),
@@ -263,10 +263,10 @@ def _whole(name: str, digits: int) -> Column:
     return F.rint(F.col(name) * 10**digits).cast("bigint")
 
 
-def _amount(name: str, digits: int) -> Column:
+def _amount(units: Column, digits: int) -> Column:
     """Back from units to a decimal."""
     unit = F.lit(Decimal(1).scaleb(-digits))
-    return (F.col(name).cast("decimal(18,0)") * unit).cast(f"decimal(18,{digits})")
+    return (units.cast("decimal(18,0)") * unit).cast(f"decimal(18,{digits})")
 
 
 def _fill(df: DataFrame, sheet: str, values: dict[str, Column]) -> DataFrame:

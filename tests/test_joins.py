@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.joins import fanout_left_join, guard_unique
 from orderlens.plans import marts
+from orderlens.queries import queries
 
 
 def bag(df):
@@ -109,8 +110,31 @@ def test_guard_adds_nothing_when_it_holds(spark):
     assert bag(df) == Counter({(1, 10, "a", False): 1, (2, 20, "c", True): 1, (2, 21, "c", True): 1, (3, 30, None, True): 1})
 
 
+def test_on_time_verdicts_are_the_flags_of_the_analytics(spark, sheets):
+    built = marts.Marts(sheets)
+    flags = built.delivery_analytics.select("order_id", "item_number", "on_time").where("on_time IS NOT NULL")
+    assert flags.count() and bag(built.on_time_verdicts.where("on_time IS NOT NULL")) == bag(flags)
+
+
+def test_on_time_rate_reads_keys_and_dates_only(spark, tmp_path):
+    """KPI 9 scans the lines twice, and leaves quantities, prices and parts unread."""
+    root = str(tmp_path)
+    spark.sql(
+        "SELECT 1L AS o_orderkey, 2L AS o_custkey, DATE'2024-01-01' AS o_orderdate, '1' AS o_orderpriority, 'F' AS o_orderstatus"
+    ).write.parquet(f"{root}/orders.parquet")
+    spark.sql(
+        "SELECT 1L AS l_orderkey, 1 AS l_linenumber, 3L AS l_partkey, 4L AS l_suppkey, 1D AS l_quantity, 2D AS l_extendedprice,"
+        " 'F' AS l_linestatus, 'N' AS l_returnflag, DATE'2024-01-09' AS l_shipdate"
+    ).write.parquet(f"{root}/lineitem.parquet")
+    rate = queries()["kpi09_on_time_rate"](spark, root)
+    assert tuple(rate.first()) == (100.0, 1)
+    plan = rate._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Relation [l_orderkey") <= 2
+    assert not any(name in plan.executedPlan().toString() for name in ("l_quantity", "l_extendedprice", "l_partkey"))
+
+
 def test_duplicate_headers_fail_the_marts(spark, sheets):
     doubled = dict(sheets) | {"VBAK": sheets["VBAK"].unionByName(sheets["VBAK"])}
-    for build in ("order_items", "item_delivery_performance", "order_summary"):
+    for build in ("order_items", "item_delivery_performance", "order_summary", "on_time_verdicts"):
         with pytest.raises(PySparkException, match="order header to item"):
             getattr(marts.Marts(doubled), build).collect()

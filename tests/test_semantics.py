@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from orderlens.functions import distinct_text, on_time
+from orderlens.functions import joined_text, on_time
 from orderlens.operators import checks
 from orderlens.operators.conform import to_mart, to_table, trim_headers
 from orderlens.operators.joins import orphan_rows, orphan_values, repeated_keys
@@ -57,7 +57,15 @@ def test_null_keys_and_null_quantities(spark):
 
 def test_statuses_are_distinct_and_sorted(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("B",)], "s string")
-    assert tuples(df.agg(distinct_text(F.col("s")))) == [("B, a, b",)]
+    assert tuples(df.agg(joined_text(F.collect_list("s")))) == [("B, a, b",)]
+
+
+def test_deliveries_of_an_order_are_counted_once_with_all_their_statuses(spark):
+    rows = summary(
+        spark, [(1, "a", D1, "Open")], [(1, 10, Decimal(9), D1, "p")],
+        [(7, 1, 1, 10, Decimal(2), "b", D1), (7, 2, 1, 10, Decimal(3), "a", D1), (8, 1, 1, 10, Decimal(1), "b", D1), (None, 1, 1, 10, None, None, D1)],
+    )
+    assert (rows[1]["total_deliveries"], rows[1]["total_delivered_qty"], rows[1]["delivery_statuses"]) == (2, 6, "a, b")
 
 
 def test_on_time_is_three_valued(spark):
