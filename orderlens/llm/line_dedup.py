@@ -1,17 +1,18 @@
 """Near-duplicate lines by a segment-partition edit join; later copies are removed from documents.
 
-Two lines are linked if their edit distance is at most THRESHOLD = 1 code point. A line is split into
-THRESHOLD + 1 segments; one edit leaves one of them whole, so a line within the threshold has that
-segment at a place that the two lengths fix. Lines are indexed under (length, segment number, segment)
-and probe, for their own and the next smaller length, with the substrings at those places. Pairs that
-meet are verified by banded bit-parallel edit distance.
-
-A bucket of more than BUCKET lines is not expanded into pairs. Its lines are indexed under what is left
-when one code point is deleted: two lines of a length differ by one substitution if and only if they
-agree after deleting the same place, and a line is one insertion away from another if and only if it
-agrees with the other after some deletion. Such a group is linked through one of its members.
-
-Lines shorter than MIN_CHARS code points say too little to be told from chance and are left alone.
+Two lines are linked if their edit distance is at most limit() of the shorter one: THRESHOLD code points,
+and fewer in lines of under SEGMENT * (THRESHOLD + 1) code points, so that a segment never has fewer than
+SEGMENT of them. Lines of under 2 * SEGMENT code points are linked if they are equal.
+
+A line with limit k is split into k + 1 segments; k edits leave one of them whole, so a line within the
+limit has that segment near a place that the two lengths fix. Lines are indexed under (length, segment
+number, segment) and probe, for their own and the k next smaller lengths, with the substrings near those
+places. Pairs that meet are verified by banded bit-parallel edit distance.
+
+A bucket of more than BUCKET lines is first linked through one of its members, line by line. Only if it
+still holds several components are its pairs formed, and then across components alone: what is left out
+is linked already, so the components are those of all pairs. Copies of one line fall to the first step,
+however many there are; lines that share a segment and are otherwise far apart are compared in pairs.
 """
 
 from __future__ import annotations
@@ -21,60 +22,97 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import components
-from orderlens.llm.hashing import mix, powers
+from orderlens.llm.common import WORD, components
+from orderlens.llm.hashing import mix, powers, runs
 from orderlens.session import materialize
 
-THRESHOLD = 1
+#: Most edits of a link.
+THRESHOLD = 3
+#: Code points of a segment at least.
+SEGMENT = 10
+#: Code points of a line that takes part at least, unless another number is asked for.
 MIN_CHARS = 20
 BUCKET = 32
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, text) of every line that takes part; ``line`` identifies its text."""
+def lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, line_no, line, text) of every line that takes part; ``line`` identifies its text.
+
+    Blank lines do not, whatever ``shortest`` is.
+    """
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "text")
     )
-    return rows.where(F.char_length("text") >= MIN_CHARS).withColumn("line", F.unhex(F.md5("text")))
+    there = (F.char_length("text") >= shortest) & F.col("text").rlike(WORD)
+    return rows.where(there).withColumn("line", F.unhex(F.md5("text")))
 
 
-def _segments(length: Column) -> list[Column]:
-    """Keys of the prefix and the suffix that a line of ``length`` is split into, read off ``text``."""
-    half = F.floor(length / 2).cast("int")
-    return [
-        F.xxhash64(length, F.lit(0), F.substring("text", F.lit(1), half)),
-        F.xxhash64(length, F.lit(1), F.substring("text", F.col("n") - length + half + 1, length - half)),
-    ]
+def limit(length: np.ndarray, most: int) -> np.ndarray:
+    """Edits allowed to a shorter line of ``length`` code points."""
+    return np.clip(length // SEGMENT - 1, 0, most)
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
-    """One row per line text: its first place, how often it comes, and its keys."""
-    sized = rows.withColumn("n", F.char_length("text"))
-    index, probe = _segments(F.col("n")), _segments(F.col("n") - 1)
-    keyed = sized.select(
-        "line", F.struct("doc_id", "line_no").alias("at"), *[c.alias(f"k{i}") for i, c in enumerate([*index, *probe])]
-    )
-    return keyed.groupBy("line").agg(
-        F.min("at").alias("first"), F.count("*").alias("times"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]
-    )
+    """One row per line text: its first place, how often it comes, and the text if it can have edits."""
+    keyed = rows.select("line", F.struct("doc_id", "line_no").alias("at"), F.when(F.char_length("text") >= 2 * SEGMENT, F.col("text")).alias("text"))
+    return keyed.groupBy("line").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.max("text").alias("text"))
+
 
+def _places(most: int, probes: bool) -> Iterator[tuple[int, int, int, int]]:
+    """(limit, length difference, segment, shift) of the substrings that a line is indexed under, or probes with.
 
-def _buckets(distinct: DataFrame) -> DataFrame:
-    """(key, line, probes, segment, n) of keys that two or more lines share, one of them indexed there."""
-    entries = F.array(*[
-        F.struct(F.col(f"k{i}").alias("key"), F.lit(i >= 2).alias("probes"), F.lit(i % 2).alias("segment")) for i in range(4)
-    ])
-    rows = distinct.select("line", F.inline(entries))
-    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.bool_and("probes").alias("idle")).where("n > 1 and not idle")
-    return rows.join(counts.select("key", "n"), "key")
+    The edits before a segment shift it, and those after it account for the rest of the difference in length.
+    """
+    for k in range(1, most + 1):
+        for longer in range(k + 1 if probes else 1):
+            for i in range(k + 1):
+                shifts = range(max(-i, longer - (k - i)), min(i, longer + (k - i)) + 1) if probes else [0]
+                yield from ((k, longer, i, d) for d in shifts if not probes or longer or d)
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], most: int, probes: bool) -> Iterator[pa.RecordBatch]:
+    """(key, line) for every place of every line."""
     for batch in batches:
-        near = within(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), THRESHOLD)
+        for first, end, data, offsets in runs(batch.column("text")):
+            at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+            codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+            up, down = powers(len(codes))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)])])
+            size, keys, held = np.diff(at), [], []
+            for k, longer, i, shift in _places(most, probes):
+                n = size - longer
+                start = n * i // (k + 1) + shift
+                stop = n * (i + 1) // (k + 1) + shift
+                own = np.flatnonzero((limit(n, most) == k) & (start >= 0) & (stop <= size))
+                lo, hi = at[own] + start[own], at[own] + stop[own]
+                keys.append(mix((sums[hi] - sums[lo]) * down[lo] + mix((n[own] * 64 + i).astype(np.uint64))).view(np.int64))
+                held.append(first + own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), batch.column("line").take(pa.array(np.concatenate(held)))], ["key", "line"]
+            )
+
+
+def _buckets(texts: DataFrame, most: int) -> DataFrame:
+    """(key, line, probes, n) of keys that two or more lines share, one of them indexed there."""
+    keys = lambda probes: texts.mapInArrow(lambda batches: _keys(batches, most, probes), "key bigint, line binary")
+    index = materialize(keys(False), "index")
+    probing = keys(True).join(index.select("key"), "key", "left_semi").distinct()
+    rows = materialize(index.withColumn("probes", F.lit(False)).unionByName(probing.withColumn("probes", F.lit(True))), "probes")
+    counts = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(counts, "key")
+
+
+def _within(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
+        allowed = limit(np.array([min(len(a), len(b)) for a, b in zip(left, right)], np.int64), most)
+        near = np.zeros(len(left), bool)
+        for k in np.unique(allowed):
+            own = np.flatnonzero(allowed == k)
+            near[own] = within([left[j] for j in own], [right[j] for j in own], int(k))
         yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
@@ -137,61 +175,43 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
     return answer
 
 
-def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, line, whole) for every deletion in the half of a line that its bucket leaves open, and for
-    the line itself."""
-    for batch in batches:
-        for line, text, key, probes, segment in zip(*(batch.column(n).to_pylist() for n in ("line", "text", "key", "probes", "segment"))):
-            codes = mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
-            n, half = len(codes), (len(codes) - probes) // 2
-            open_ = slice(0, half + probes) if segment else slice(half, n)
-            up, down = powers(n)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up[:n])])
-            # The hash without place p: what comes before it, and what comes after moved one place down.
-            rest = (sums[:n] + (sums[n] - sums[1:]) * down[1])[open_]
-            salt = np.uint64(key & (2**64 - 1))
-            if probes:  # one code point longer than the bucket's lines: only insertions count
-                keys, whole = np.unique(mix(rest + salt)), 0
-            else:
-                same_place = mix(rest + mix(np.arange(n, dtype=np.uint64)[open_] + salt))
-                keys, whole = np.concatenate([mix(sums[n:] + salt), same_place]), 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array([line] * len(keys), pa.binary()),
-                 pa.array(np.arange(len(keys)) < whole), pa.array(np.full(len(keys), bool(probes)))],
-                ["key", "line", "whole", "probes"],
-            )
-
+def _across(many: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs (a, b) that meet in buckets ``many`` and that the links ``near`` leave in different components."""
+    roots = components(near, "crowds").withColumnRenamed("id", "line")
+    rows = many.join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
+    mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    rows = materialize(rows.join(mixed.select("key"), "key").select("key", "line", "probes", "root"), "open")
+    a = rows.where("not probes").select("key", F.col("line").alias("a"), F.col("root").alias("root_a"))
+    b = rows.select("key", F.col("line").alias("b"), "probes", F.col("root").alias("root_b"))
+    return a.join(b, "key").where("root_a != root_b and (probes or a < b)").select("a", "b").distinct()
 
-def _crowded(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that link all lines within the threshold in buckets of any size."""
-    held = rows.select("key", "line", "probes", "segment").join(texts, "line")
-    keys = held.mapInArrow(_deletions, "key bigint, line binary, whole boolean, probes boolean")
-    # Lines of one length meet on a place; a longer line meets the whole shorter one, if it is there.
-    hub = F.coalesce(F.max(F.when(F.col("whole"), F.col("line"))), F.min(F.when(~F.col("probes"), F.col("line"))))
-    hubs = keys.groupBy("key").agg(hub.alias("hub"), F.count("*").alias("n")).where("n > 1 and hub is not null")
-    return keys.join(hubs.drop("n"), "key").where("line != hub").select(F.col("hub").alias("a"), F.col("line").alias("b")).distinct()
 
-
-def links(rows: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of lines within the threshold that connect every class; ``rows`` as from lines()."""
-    met = materialize(_buckets(distinct), "met")
-    wanted = met.select("line").distinct()
-    texts = materialize(rows.select("line", "text").join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
+def links(texts: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of lines within the limit that connect every class; ``texts`` (line, text) are distinct."""
+    met = materialize(_buckets(texts, most), "met")
+    held = materialize(texts.join(met.select("line").distinct(), "line", "left_semi"), "texts")
     few, many = met.where(F.col("n") <= BUCKET), met.where(F.col("n") > BUCKET)
+    side = lambda name: held.select(F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
+    verified = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+        lambda batches: _within(batches, most), "a binary, b binary"
+    )
     a = few.where("not probes").select("key", F.col("line").alias("a"))
     b = few.select("key", F.col("line").alias("b"), "probes")
-    pairs = a.join(b, "key").where("probes or a < b").where("a != b").select("a", "b")
-    pairs = pairs.unionByName(_crowded(many, texts)).distinct()
-    side = lambda name: texts.select(F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_within, "a binary, b binary")
+    pairs = a.join(b, "key").where("a != b and (probes or a < b)").select("a", "b")
+    hubs = many.where("not probes").groupBy("key").agg(F.min("line").alias("a"))
+    stars = many.join(hubs, "key").select("a", F.col("line").alias("b")).where("a != b")
+    near = materialize(verified(pairs.unionByName(stars).distinct()), "near")
+    if many.isEmpty():
+        return near
+    return near.unionByName(verified(_across(many, near)))
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
     """(line, first_doc, first_line, times) of lines that are not alone in their class: where it first comes,
     and how often this text does."""
-    rows = lines(docs)
-    distinct = materialize(_distinct(rows), "lines")
-    roots = components(materialize(links(rows, distinct), "links"), "roots").withColumnRenamed("id", "line")
+    distinct = materialize(_distinct(lines(docs, shortest)), "lines")
+    near = links(distinct.where("text is not null").select("line", "text"), most)
+    roots = components(materialize(near, "links"), "roots").withColumnRenamed("id", "line")
     placed = distinct.select("line", "first", "times").join(roots, "line", "left").where("times > 1 or root is not null")
     placed = placed.withColumn("root", F.coalesce("root", "line"))
     least = placed.groupBy("root").agg(F.min("first").alias("least"))
@@ -201,15 +221,16 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, class_doc_id, class_line_no and kept for every line of at least MIN_CHARS code points.
+def line_classes(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
+    """doc_id, line_no, class_doc_id, class_line_no and kept for every line of at least ``shortest`` code points
+    that is not blank; ``most`` edits link two lines.
 
     A class is a component of links; it is named by its first place, by doc_id and line, and kept there
     only. Documents without id and null texts have no lines here; rows that share a doc_id are one
     document, and equal lines at one place of it are one place. Other columns are ignored.
     """
-    found = classes(docs).drop("times")
-    rows = lines(docs).select("doc_id", "line_no", "line").join(found, "line", "left")
+    found = classes(docs, most, shortest).drop("times")
+    rows = lines(docs, shortest).select("doc_id", "line_no", "line").join(found, "line", "left")
     at = rows.select(
         "doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.coalesce("first_doc", "doc_id").alias("class_doc_id"),
         F.coalesce("first_line", "line_no").cast("bigint").alias("class_line_no"),
@@ -217,13 +238,13 @@ def line_classes(docs: DataFrame) -> DataFrame:
     return at.withColumn("kept", (F.col("doc_id") == F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no")))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
     """``docs`` without the lines that line_classes() does not keep; n_chars follows the text.
 
     A document all of whose text is removed goes; one that was empty, null or without id stays as it is.
     """
-    found = classes(docs).drop("times")
-    rows = lines(docs).select("doc_id", "line_no", "line").join(found, "line")
+    found = classes(docs, most, shortest).drop("times")
+    rows = lines(docs, shortest).select("doc_id", "line_no", "line").join(found, "line")
     gone = rows.where((F.col("doc_id") != F.col("first_doc")) | (F.col("line_no") != F.col("first_line")))
     marks = gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "line")).alias("gone"))
     at, n = docs.columns.index("text"), len(docs.columns)

@@ -166,6 +166,35 @@ def test_line_classes_equal_all_pairs(spark, bucket, monkeypatch):
         assert left.get(doc) == ("\n".join(kept) if "".join(kept).strip() or not text else None)
 
 
+@pytest.mark.parametrize("bucket, most", [(32, 3), (2, 3), (2, 2), (1, 5)])
+def test_line_classes_of_several_edits_equal_all_pairs(spark, bucket, most, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKET", bucket)
+    rng = np.random.default_rng(11)
+    texts = ["Released on 2024-01-15 by the group of nine", "Released on 2023-12-31 by the group of nine"]
+    for size in (20, 22, 29, 30, 33, 39, 40, 41, 47, 60, 75):
+        base = "".join(rng.choice(list("abcdeü𝄞 "), size - 1)) + "."
+        texts.append(base)
+        for _ in range(14):
+            line, start = list(texts[-1] if rng.random() < 0.4 else base), texts[-1][: size // 2]
+            for _ in range(int(rng.integers(1, most + 2))):
+                at = int(rng.integers(0, len(line)))
+                line[at : at + int(rng.integers(0, 2))] = list(rng.choice(list("XYZ"), int(rng.integers(0, 2))))
+            texts.append("".join(line) if rng.random() < 0.8 else start + "".join(rng.choice(list("abc "), size - len(start) - 1)) + ".")
+    rows = [(k // 3, "\n".join(texts[k : k + 3])) for k in range(0, len(texts), 3)]
+    places = {(d, i): t for d, text in rows for i, t in enumerate(text.split("\n")) if len(t) >= 20}
+    allowed = lambda a, b: min(most, min(len(a), len(b)) // 10 - 1)
+    near = lambda a, b: abs(len(a) - len(b)) <= most and levenshtein(a, b) <= allowed(a, b)
+    expected = roots(places, [(a, b) for a, b in combinations(places, 2) if near(places[a], places[b])])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = line_dedup.line_classes(docs, most).collect()
+    assert {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in got} == expected
+
+
+def test_line_dedup_links_changed_numbers_by_default(spark):
+    docs = spark.createDataFrame([(1, "Page 117 of the minutes, printed for the members"), (2, "Page 204 of the minutes, printed for the members")], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in line_dedup.line_classes(docs).where("kept").collect()] == [1]
+
+
 def test_line_dedup_of_an_empty_table_and_clashing_columns(spark, none):
     assert line_dedup.line_classes(none).count() == 0
     assert line_dedup.deduplicated(none).columns == none.columns
