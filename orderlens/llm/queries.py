@@ -75,7 +75,7 @@ def op1(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, root: str) -> DataFrame:
-    return line_dedup.line_classes(table(spark, root, "documents"))
+    return line_dedup.line_classes(table(spark, root, "documents"), shortest=1)
 
 
 def op3(spark: SparkSession, root: str) -> DataFrame:

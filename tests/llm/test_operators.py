@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 import public_tokenizers
 from orderlens.llm import (
     chat, embedding_dedup, hashing, licenses, line_dedup, minhash, mixing, packing, quality, queries, topk, toxicity,
@@ -195,6 +196,18 @@ def test_line_dedup_links_changed_numbers_by_default(spark):
     assert [r["doc_id"] for r in line_dedup.line_classes(docs).where("kept").collect()] == [1]
 
 
+def test_line_dedup_query_takes_short_lines_but_links_them_only_if_equal(spark, tmp_path):
+    rows = [(1, "Les.\n\nOf it."), (2, "Of it.\nLes.\nLess."), (3, " \t\nLes."), (4, "Les.\nown")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op2_line_dedup"](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in got} == {
+        (1, 0): (1, 0), (1, 2): (1, 2), (2, 0): (1, 2), (2, 1): (1, 0), (2, 2): (2, 2), (3, 1): (1, 0), (4, 0): (1, 0), (4, 1): (4, 1),
+    }
+    left = corpus_pipeline.line_stage(spark, docs, "")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {1: "Les.\n\nOf it.", 2: "Less.", 4: "own"}
+
+
 def test_line_dedup_of_an_empty_table_and_clashing_columns(spark, none):
     assert line_dedup.line_classes(none).count() == 0
     assert line_dedup.deduplicated(none).columns == none.columns
