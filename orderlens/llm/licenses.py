@@ -5,21 +5,32 @@ of 2 * B shingles that start every B, so that any B successive shingles lie in o
 holds a template to the required share has a similarity to it of at least some s that follows from the
 sizes; with one minimum a band, ``bands`` is chosen so that the chance of missing it in all of them is
 at most MISS. Every retrieved pair is verified on the exact shingles of the window.
+
+Words are letters and digits only: marks are taken out of texts and templates first, so that comment
+signs, quotes and full stops neither make words nor change them. Templates of fewer than SHORT words have
+shorter shingles, and a match must hold those with a digit, so that one version is not taken for another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.hashing import runs, shingle_sets, windows, word_hashes
 
 SHINGLE = 5
+#: Templates of fewer than SHORT words have shingles of SHORT_SHINGLE.
+SHORT = 10
+SHORT_SHINGLE = 3
+#: What belongs to no word and does not end one.
+MARKS = r"[^\p{L}\p{M}\p{N}\x09-\x0D\x20]+"
 #: A match holds at least so many hundredths of the template's shingles.
 PERCENT = 75
 MISS = 1e-4
@@ -75,9 +86,11 @@ def bands(sizes: list[int], block: int) -> int:
 class Group(NamedTuple):
     """Templates that are looked for in windows of one size."""
 
+    size: int  # words of a shingle
     block: int
     names: list[str]
     sets: list[np.ndarray]
+    musts: list[np.ndarray]  # shingles that a match cannot lack
     minima: np.ndarray  # a row per template, a column per band
 
 
@@ -85,26 +98,37 @@ def groups(templates: dict[str, str]) -> list[Group]:
     """Templates without words match nothing and are left out."""
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"{len(templates)} templates; at most {MOST_TEMPLATES} can be sent to every task")
-    sets = dict(zip(templates, shingle_sets(pa.array(list(templates.values()), pa.string()), SHINGLE)))
-    by_block: dict[int, list[str]] = {}
-    for name, shingles in sets.items():
-        if len(shingles):
-            by_block.setdefault(1 << (len(shingles) - 1).bit_length(), []).append(name)
+    plain = dict(zip(templates, plain_words(pa.array(list(templates.values()), pa.string())).to_pylist()))
+    sets: dict[str, np.ndarray] = {}
+    musts: dict[str, np.ndarray] = {}
+    by_kind: dict[tuple[int, int], list[str]] = {}
+    for name, text in plain.items():
+        words = text.split()
+        if not words:
+            continue
+        size = SHINGLE if len(words) >= SHORT else min(SHORT_SHINGLE, len(words))
+        (sets[name],) = shingle_sets(pa.array([text]), size)
+        spans = [" ".join(words[k : k + size]) for k in range(len(words) - size + 1)] if len(words) < SHORT else []
+        digits = pa.array([t for t in spans if any(c.isdigit() for c in t)], pa.string())
+        musts[name] = np.unique(np.concatenate([sets[name][:0], *shingle_sets(digits, size)]))
+        by_kind.setdefault((size, 1 << (len(sets[name]) - 1).bit_length()), []).append(name)
     out = []
-    for block, names in sorted(by_block.items()):
+    for (size, block), names in sorted(by_kind.items()):
         many = bands([len(sets[n]) for n in names], block)
         least = np.array([(sets[n][:, None] * _TIMES[:many]).min(axis=0) for n in names])
-        out.append(Group(block, names, [sets[n] for n in names], least))
+        out.append(Group(size, block, names, [sets[n] for n in names], [musts[n] for n in names], least))
     return out
 
 
-def _shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A run's shingles in order, row after row, and the rows' offsets among them."""
-    words, rows = word_hashes(data, offsets)
-    every = windows(words, SHINGLE)
-    parts = []
-    for lo, hi in zip(rows[:-1], rows[1:]):
-        parts.append(every[lo : hi - SHINGLE + 1] if hi - lo >= SHINGLE else windows(words[lo:hi], int(hi - lo))[: int(hi > lo)])
+def plain_words(column: pa.Array) -> pa.Array:
+    """Texts without marks; what is left of a word that holds some is one word."""
+    return pc.replace_substring_regex(column, MARKS, "")
+
+
+def _shingles(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A run's shingles of ``size`` words in order, row after row, and the rows' offsets among them."""
+    every = windows(words, size)
+    parts = [every[lo : max(lo, hi - size + 1)] for lo, hi in zip(rows[:-1], rows[1:])]
     return np.concatenate([words[:0], *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
@@ -138,16 +162,18 @@ def _retrieved(shingles: np.ndarray, rows: np.ndarray, group: Group) -> Iterator
 def _scan(batches: Iterator[pa.RecordBatch], kinds: list[Group]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, found = batch.column("doc_id").to_pylist(), []
-        for first, _, data, offsets in runs(batch.column("text")):
-            shingles, rows = _shingles(data, offsets)
+        for first, _, data, offsets in runs(plain_words(batch.column("text"))):
+            words, at_word = word_hashes(data, offsets)
             best: dict[tuple[int, str], tuple[int, int, int]] = {}
-            for group in kinds:
-                for row, start, end, t in _retrieved(shingles, rows, group):
-                    at = np.flatnonzero(np.isin(shingles[start:end], group.sets[t]))
-                    held, size = len(np.unique(shingles[start:end][at])), len(group.sets[t])
-                    if held * 100 >= size * PERCENT:
-                        key, place = (row, group.names[t]), start + int(at[0]) - int(rows[row])
-                        best[key] = max(best.get(key, (0, 0, 0)), (held, -place, size))
+            for size, alike in groupby(kinds, lambda group: group.size):
+                shingles, rows = _shingles(words, at_word, size)
+                for group in alike:
+                    for row, start, end, t in _retrieved(shingles, rows, group):
+                        at = np.flatnonzero(np.isin(shingles[start:end], group.sets[t]))
+                        there, whole = np.unique(shingles[start:end][at]), len(group.sets[t])
+                        if len(there) * 100 >= whole * PERCENT and np.isin(group.musts[t], there).all():
+                            key, place = (row, group.names[t]), start + int(at[0]) - int(rows[row])
+                            best[key] = max(best.get(key, (0, 0, 0)), (len(there), -place, whole))
             found += [(ids[first + row], name, held / size, -place) for (row, name), (held, place, size) in sorted(best.items())]
         columns = list(zip(*found)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
@@ -161,8 +187,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     first_word (where the best window's first shingle of the template starts, in words) for every license
     found in a row of ``docs``.
 
-    Whole texts are scanned, case aside. A text or template of fewer than SHINGLE words is one shingle of
-    all its words. Null and empty texts hold no license; a null doc_id stays null; repeated rows report
+    Whole texts are scanned, case and marks aside; words are counted as in plain_words(). A template of fewer
+    than SHORT_SHINGLE words is one shingle of all its words. Null and empty texts hold no license; a null doc_id stays null; repeated rows report
     each; other columns are ignored. Nothing is shuffled.
     """
     kinds = groups(TEMPLATES if templates is None else templates)

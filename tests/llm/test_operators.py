@@ -407,6 +407,29 @@ def test_licenses_equal_all_windows(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licenses_are_found_in_comments_and_without_marks(spark):
+    own = licenses.TEMPLATES
+
+    def wrapped(text, sign, width=8):
+        words = text.split()
+        return "\n".join(sign + " ".join(words[k : k + width]) for k in range(0, len(words), width))
+
+    asf = own["Apache-2.0-header"].replace("Licensed under", "The ASF licenses this file to You under")
+    rows = [
+        (1, "/*\n" + wrapped(own["Apache-2.0-header"], " * ") + "\n */"), (2, wrapped(asf, "# ")), (3, wrapped(own["GPL-3.0-header"], " * ")),
+        (4, "code; // Released under the MIT License"), (5, "<!--Licensed under CC BY-NC 4.0-->"), (6, "\u201cLicensed under CC BY-SA 4.0\u201d, it says"),
+        (7, "Licensed under the Apache License, Version 1.1."), (8, "Licensed under CC BY-NC 3.0."), (9, "* // --"), (10, "so be it: a-b c, as ever"),
+        (11, own["BSD-3-Clause"].replace("forms,", "forms")),
+    ]
+    found = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), {**own, "four": "(a-b c as ever)", "signs": "* //"}).collect():
+        found.setdefault(r["doc_id"], set()).add(r["license"])
+    assert found == {
+        1: {"Apache-2.0", "Apache-2.0-header"}, 2: {"Apache-2.0", "Apache-2.0-header"}, 3: {"GPL-3.0-header"}, 4: {"MIT"},
+        5: {"CC-BY-NC-4.0"}, 6: {"CC-BY-SA-4.0"}, 10: {"four"}, 11: {"BSD-3-Clause"},
+    }
+
+
 def test_band_settings_keep_the_promise():
     for block, sizes in ((1, [1]), (4, [3, 4]), (64, [33, 64])):
         many = licenses.bands(sizes, block)
