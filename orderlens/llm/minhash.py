@@ -96,6 +96,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, set binary, keys array<bigint>")
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [set_id(s) if len(s) else None for s in shingle_sets(batch.column("text"), SHINGLE)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(ids, pa.binary())], ["row", "set"])
+
+
+def with_set(docs: DataFrame) -> DataFrame:
+    """row (the columns of ``docs``) and set (an id of the shingle set, null if it is empty) per row."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_sets, f"row {rows.schema['row'].dataType.simpleString()}, set binary")
+
+
 def buckets(sets: DataFrame) -> DataFrame:
     """(key, set) for every table key that two or more sets share."""
     subs = sets.select("set", F.posexplode("keys").alias("at", "sub"))

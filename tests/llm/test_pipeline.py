@@ -38,6 +38,19 @@ def test_near_duplicate_stage_keeps_one_of_a_group(spark):
     assert {r["doc_id"] for r in left.collect()} == {1, 2, None}
 
 
+def test_near_duplicate_stage_keeps_one_row_of_a_document(spark):
+    text, other = " ".join(f"word{k}" for k in range(40)), "something else altogether, of six words"
+    rows = [(4, text, "a"), (2, text, "b"), (2, text, "b"), (2, text, "c"), (7, None, "a"), (7, other, "z"), (7, "", "a"), (8, None, "a"), (8, None, "a")]
+    rows += [(None, text, "a"), (None, text, "a"), (None, text.upper(), "b"), (None, other, "a"), (None, None, "a"), (None, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    again = corpus_pipeline.near_duplicate_stage(spark, docs.repartition(5), "")
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in again.collect()) and again.columns == docs.columns
+    named = {r[0]: r[1] for r in got if r[0] is not None}
+    assert named == {2: text, 7: other, 8: None} and sum(r[0] is not None for r in got) == 3
+    assert sorted((r[1] or "").lower() for r in got if r[0] is None) == sorted(["", "", text, other])
+
+
 def test_run_packs_all_that_is_left(spark):
     pieces = corpus_pipeline.run(spark, ROOT)
     assert pieces.count() > 0
