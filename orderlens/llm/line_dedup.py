@@ -56,9 +56,8 @@ def limit(length: np.ndarray, most: int) -> np.ndarray:
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
-    """One row per line text: its first place, how often it comes, and the text if it can have edits."""
-    keyed = rows.select("line", F.struct("doc_id", "line_no").alias("at"), F.when(F.char_length("text") >= 2 * SEGMENT, F.col("text")).alias("text"))
-    return keyed.groupBy("line").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.max("text").alias("text"))
+    """One row per line text: its first place and how often it comes."""
+    return rows.select("line", F.struct("doc_id", "line_no").alias("at")).groupBy("line").agg(F.min("at").alias("first"), F.count("*").alias("times"))
 
 
 def _places(most: int, probes: bool) -> Iterator[tuple[int, int, int, int]]:
@@ -74,8 +73,9 @@ def _places(most: int, probes: bool) -> Iterator[tuple[int, int, int, int]]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch], most: int, probes: bool) -> Iterator[pa.RecordBatch]:
-    """(key, line) for every place of every line."""
+    """(key, h) for every place of every line; copies of a line in one batch count once."""
     for batch in batches:
+        batch = batch.take(pa.array(np.unique(batch.column("h").to_numpy(), return_index=True)[1]))
         for first, end, data, offsets in runs(batch.column("text")):
             at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
             codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -91,18 +91,19 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, probes: bool) -> Iterato
                 keys.append(mix((sums[hi] - sums[lo]) * down[lo] + mix((n[own] * 64 + i).astype(np.uint64))).view(np.int64))
                 held.append(first + own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), batch.column("line").take(pa.array(np.concatenate(held)))], ["key", "line"]
+                [pa.array(np.concatenate(keys)), batch.column("h").take(pa.array(np.concatenate(held)))], ["key", "h"]
             )
 
 
 def _buckets(texts: DataFrame, most: int) -> DataFrame:
-    """(key, line, probes, n) of keys that two or more lines share, one of them indexed there."""
-    keys = lambda probes: texts.mapInArrow(lambda batches: _keys(batches, most, probes), "key bigint, line binary")
+    """(key, h, probes, n) of keys that two or more lines share, one of them indexed there; ``n`` is at least their number."""
+    keys = lambda probes: texts.select("h", "text").mapInArrow(lambda batches: _keys(batches, most, probes), "key bigint, h bigint")
     index = materialize(keys(False), "index")
-    probing = keys(True).join(index.select("key"), "key", "left_semi").distinct()
-    rows = materialize(index.withColumn("probes", F.lit(False)).unionByName(probing.withColumn("probes", F.lit(True))), "probes")
-    counts = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(counts, "key")
+    probing = keys(True).join(index.select("key").distinct().hint("shuffle_hash"), "key", "left_semi").distinct()
+    probing = materialize(probing, "probes")
+    rows = index.withColumn("probes", F.lit(False)).unionByName(probing.withColumn("probes", F.lit(True)))
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo != hi")
+    return rows.join(counts.select("key", "n"), "key").distinct()
 
 
 def _within(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -175,44 +176,48 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
     return answer
 
 
-def _across(many: DataFrame, near: DataFrame) -> DataFrame:
+def _across(many: DataFrame, near: DataFrame, held: DataFrame) -> DataFrame:
     """Pairs (a, b) that meet in buckets ``many`` and that the links ``near`` leave in different components."""
     roots = components(near, "crowds").withColumnRenamed("id", "line")
-    rows = many.join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
+    rows = many.join(held.select("h", "line"), "h").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    rows = materialize(rows.join(mixed.select("key"), "key").select("key", "line", "probes", "root"), "open")
-    a = rows.where("not probes").select("key", F.col("line").alias("a"), F.col("root").alias("root_a"))
-    b = rows.select("key", F.col("line").alias("b"), "probes", F.col("root").alias("root_b"))
+    rows = materialize(rows.join(mixed.select("key"), "key").select("key", "h", "probes", "root"), "open")
+    a = rows.where("not probes").select("key", F.col("h").alias("a"), F.col("root").alias("root_a"))
+    b = rows.select("key", F.col("h").alias("b"), "probes", F.col("root").alias("root_b"))
     return a.join(b, "key").where("root_a != root_b and (probes or a < b)").select("a", "b").distinct()
 
 
-def links(texts: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of lines within the limit that connect every class; ``texts`` (line, text) are distinct."""
+def links(rows: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of lines within the limit that connect every class; ``rows`` as from lines().
+
+    Until texts are compared a line goes by ``h``, a hash of half the size; lines that share it are all compared.
+    """
+    texts = rows.where(F.char_length("text") >= 2 * SEGMENT).select("line", F.xxhash64("line").alias("h"), "text")
     met = materialize(_buckets(texts, most), "met")
-    held = materialize(texts.join(met.select("line").distinct(), "line", "left_semi"), "texts")
+    held = materialize(texts.join(met.select("h").distinct(), "h", "left_semi").dropDuplicates(["line"]), "texts")
     few, many = met.where(F.col("n") <= BUCKET), met.where(F.col("n") > BUCKET)
-    side = lambda name: held.select(F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
-    verified = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+    side = lambda name: held.select(F.col("h").alias(f"h_{name}"), F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
+    verified = lambda pairs: pairs.toDF("h_a", "h_b").join(side("a"), "h_a").join(side("b"), "h_b").mapInArrow(
         lambda batches: _within(batches, most), "a binary, b binary"
     )
-    a = few.where("not probes").select("key", F.col("line").alias("a"))
-    b = few.select("key", F.col("line").alias("b"), "probes")
+    a = few.where("not probes").select("key", F.col("h").alias("a"))
+    b = few.select("key", F.col("h").alias("b"), "probes")
     pairs = a.join(b, "key").where("a != b and (probes or a < b)").select("a", "b")
-    hubs = many.where("not probes").groupBy("key").agg(F.min("line").alias("a"))
-    stars = many.join(hubs, "key").select("a", F.col("line").alias("b")).where("a != b")
+    hubs = many.where("not probes").groupBy("key").agg(F.min("h").alias("a"))
+    stars = many.join(hubs, "key").select("a", F.col("h").alias("b")).where("a != b")
     near = materialize(verified(pairs.unionByName(stars).distinct()), "near")
     if many.isEmpty():
         return near
-    return near.unionByName(verified(_across(many, near)))
+    return near.unionByName(verified(_across(many, near, held)))
 
 
 def classes(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
     """(line, first_doc, first_line, times) of lines that are not alone in their class: where it first comes,
     and how often this text does."""
-    distinct = materialize(_distinct(lines(docs, shortest)), "lines")
-    near = links(distinct.where("text is not null").select("line", "text"), most)
-    roots = components(materialize(near, "links"), "roots").withColumnRenamed("id", "line")
-    placed = distinct.select("line", "first", "times").join(roots, "line", "left").where("times > 1 or root is not null")
+    rows = lines(docs, shortest)
+    distinct = materialize(_distinct(rows), "lines")
+    roots = components(materialize(links(rows, most), "links"), "roots").withColumnRenamed("id", "line")
+    placed = distinct.join(roots, "line", "left").where("times > 1 or root is not null")
     placed = placed.withColumn("root", F.coalesce("root", "line"))
     least = placed.groupBy("root").agg(F.min("first").alias("least"))
     return materialize(
