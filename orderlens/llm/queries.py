@@ -1,4 +1,4 @@
-"""Queries op1 to op10, each over its whole table, with production parameters."""
+"""Queries op1 to op13, each over its whole table, with production parameters."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    chat, embedding_dedup, licenses, line_dedup, minhash, mixing, packing, quality, topk, toxicity,
+    bpe, chat, embedding_dedup, licenses, line_dedup, merkle, minhash, mixing, packing, quality, repair, topk, toxicity,
 )
 from orderlens.llm.common import table
 from orderlens.session import tune
@@ -123,6 +123,48 @@ def op10(spark: SparkSession, root: str) -> DataFrame:
     return licenses.scan(table(spark, root, "documents"))
 
 
+def op11(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(merkle.leaves(docs, text))
+    proof = F.array_join(F.zip_with("lefts", "rights", lambda a, b: F.concat(a, b)), "")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(proof.cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a row in five damaged; null roles and texts are one space."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    rows = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind"))
+    return rows.where("kind != 0").select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op12(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "conversations")
+    found = repair.repair(_damaged(rows), rows)
+    return found.report.join(repair.digests(found.rows), "conv", "left").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"),
+    )
+
+
+def op13(spark: SparkSession, root: str) -> DataFrame:
+    ids = bpe.encoded(table(spark, root, "documents"))
+    return bpe.decoded(ids).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 _QUERIES = {
     "op1_chat_formatting": op1,
     "op2_line_dedup": op2,
@@ -134,6 +176,9 @@ _QUERIES = {
     "op8_packing": op8,
     "op9_embedding_dedup": op9,
     "op10_license_scan": op10,
+    "op11_merkle_manifest": op11,
+    "op12_conversation_repair": op12,
+    "op13_bpe": op13,
 }
 
 
