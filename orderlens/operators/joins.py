@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import named
+from orderlens.functions import any_null, named
 
 # Right rows of one key that a single task should join; also bounds the hot-key list.
 ROWS_PER_TASK = 4_000_000
@@ -90,3 +94,50 @@ def orphan_rows(child: DataFrame, keys: list[str], parent: DataFrame) -> DataFra
     """
     counted = child.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n"))
     return counted.join(parent.select(*keys).dropna().distinct(), keys, "left_anti")
+
+
+def reference_gaps(members: Mapping[str, tuple[DataFrame, list[str]]], rules: Sequence[tuple[str, Sequence[str]]],
+                   null_is_orphan: bool = False) -> DataFrame:
+    """(child, parents, orphan_values, orphan_rows) of rules about one key, from one grouping of that key.
+
+    A member is a table and its key columns. A rule names a child and its parents: a key that the child holds
+    and none of the parents does is an orphan. All members are stacked under the key with a tag and counted per
+    key, so any number of rules costs one shuffle, which holds one row per key, member and map task. A key with
+    a null part references nothing and passes, unless ``null_is_orphan``: then it is an orphan, whatever parents hold.
+    """
+    width = len(next(iter(members.values()))[1])
+    at, keys = {name: k for k, name in enumerate(members)}, [f"_k{k}" for k in range(width)]
+
+    def keyed(name: str) -> DataFrame:
+        df, columns = members[name]
+        rows = df.select(*[named(c).alias(k) for c, k in zip(columns, keys)], F.lit(at[name]).alias("_member"))
+        return rows if null_is_orphan else rows.dropna(subset=keys)
+
+    stacked = reduce(DataFrame.union, map(keyed, members))
+    counts = stacked.groupBy(*keys).agg(*[F.count_if(F.col("_member") == k).alias(f"_n{k}") for k in at.values()])
+
+    def found(child: str, parents: Sequence[str]) -> Column:
+        alone = reduce(and_, [F.col(f"_n{at[p]}") == 0 for p in parents])
+        if null_is_orphan:
+            alone = alone | any_null(keys)
+        rows = F.col(f"_n{at[child]}")
+        return F.struct(
+            F.lit(child).alias("child"), F.lit(",".join(parents)).alias("parents"),
+            F.count_if(alone & (rows > 0)).alias("orphan_values"), F.coalesce(F.sum(F.when(alone, rows)), F.lit(0)).alias("orphan_rows"),
+        )
+
+    return counts.agg(F.array(*[found(*rule) for rule in rules]).alias("_found")).select(F.inline("_found"))
+
+
+def held_keys(held: DataFrame, coming: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct ``keys`` of ``coming`` that ``held`` has. ``coming`` is written and has no null in its keys.
+
+    Only key columns of ``held`` are read, within the bounds of the coming first key, which Parquet statistics
+    skip by; the rows are not shuffled unless the coming keys are too many to broadcast by Spark's own measure,
+    and then a runtime filter is open to it. What is joined on is never more than the keys that come.
+    """
+    wanted = coming.select(*[named(k) for k in keys]).distinct()
+    first = named(keys[0])
+    least, most = wanted.agg(F.min(first)).scalar(), wanted.agg(F.max(first)).scalar()
+    near = held.select(*[named(k) for k in keys]).where((first >= least) & (first <= most))
+    return near.join(wanted, keys, "left_semi").distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import any_null, lenient_date, named
 from orderlens.operators import checks
 from orderlens.operators.checks import stack_rows
-from orderlens.operators.joins import orphan_rows, orphan_values, repeated_keys
+from orderlens.operators.joins import held_keys, orphan_rows, orphan_values, reference_gaps, repeated_keys
 from orderlens.schema import (
     DATE_RULES, DELIVERED, FOREIGN_KEYS, PRIMARY_KEYS, REFERENCE_RULES, SHEETS, SUSPECT_NUMBER_RULES, table_columns,
 )
@@ -40,22 +40,38 @@ def full_row_duplicates(sheets: Tables) -> DataFrame:
     return duplicates(sheets).where(F.col("check") == "full_row_duplicate")
 
 
-def orphans(sheets: Tables) -> DataFrame:
-    return stack_rows([
-        checks.orphans(sheets[child], child, column, sheets[parent], parent, key)
-        for child, column, parent, key in REFERENCE_RULES
-    ])
+def _sheet_gaps(sheets: Tables, rules: Sequence[tuple[str, str, str, str]], null_is_orphan: bool = False) -> DataFrame:
+    """Reference rules (child, column, parent, key); those whose parents share a key are answered by one grouping."""
+    found = []
+    for key in dict.fromkeys(key for _, _, _, key in rules):
+        own = [(child, column, parent) for child, column, parent, k in rules if k == key]
+        columns = {parent: key for _, _, parent in own} | {child: column for child, column, _ in own}
+        members = {name: (sheets[name], [column]) for name, column in columns.items()}
+        found.append(reference_gaps(members, [(child, [parent]) for child, _, parent in own], null_is_orphan).select(
+            "child", F.lit(key).alias("column"), F.col("parents").alias("parent"), "orphan_values"
+        ))
+    return stack_rows(found)
+
+
+def orphans(sheets: Tables, rules: Sequence[tuple[str, str, str, str]] = REFERENCE_RULES) -> DataFrame:
+    """Distinct child values that the parent lacks, per rule."""
+    name = F.concat(F.lit("orphan_"), F.col("column"), F.lit("_to_"), F.col("parent"))
+    return _sheet_gaps(sheets, rules).select(F.col("child").alias("table"), name.alias("check"), F.col("orphan_values").alias("issue_count"))
+
+
+# Item sheets against their header sheets.
+SUBSET_RULES = (
+    ("VBAP", "Sales Document", "VBAK", "Sales Document"),
+    ("LIPS", "Delivery Number", "LIKP", "Delivery Number"),
+    ("VTTP", "Shipment Number", "VTTK", "Shipment Number"),
+)
 
 
 def subset_violations(sheets: Tables) -> DataFrame:
     """Item sheets against their header sheets; here a missing key is a violation too."""
-    pairs = (("VBAP", "VBAK", "Sales Document"), ("LIPS", "LIKP", "Delivery Number"), ("VTTP", "VTTK", "Shipment Number"))
-    return stack_rows([
-        orphan_values(sheets[items], key, sheets[headers], key, null_is_orphan=True).agg(
-            F.count("*").alias("issue_count")
-        ).select(F.lit(items).alias("table"), F.lit(f"not_in_{headers}_{key}").alias("check"), "issue_count")
-        for items, headers, key in pairs
-    ])
+    name = F.concat(F.lit("not_in_"), F.col("parent"), F.lit("_"), F.col("column"))
+    found = _sheet_gaps(sheets, SUBSET_RULES, null_is_orphan=True)
+    return found.select(F.col("child").alias("table"), name.alias("check"), F.col("orphan_values").alias("issue_count"))
 
 
 def unparseable_dates(sheets: Tables) -> DataFrame:
@@ -87,14 +103,13 @@ def carriers_against_vendors(sheets: Tables) -> DataFrame:
 
 def delivered_without_records(sheets: Tables) -> DataFrame:
     """Orders marked delivered that no delivery item and no shipment item mentions."""
-    key = "Sales Document"
-    done = sheets["VBAK"].where(F.col("`Order Status`") == DELIVERED).select(named(key)).dropna().distinct()
-    for items in ("LIPS", "VTTP"):
-        done = done.join(sheets[items].select(named(key)).dropna().distinct(), key, "left_anti")
-    return done.agg(F.count("*").alias("issue_count")).select(
+    key = ["Sales Document"]
+    done = sheets["VBAK"].where(F.col("`Order Status`") == DELIVERED)
+    members = {"VBAK": (done, key), "LIPS": (sheets["LIPS"], key), "VTTP": (sheets["VTTP"], key)}
+    return reference_gaps(members, [("VBAK", ["LIPS", "VTTP"])]).select(
         F.lit("VBAK").alias("table"),
         F.lit("order_status_delivered_but_no_delivery_or_shipment_record").alias("check"),
-        "issue_count",
+        F.col("orphan_values").alias("issue_count"),
     )
 
 
@@ -166,18 +181,44 @@ def primary_key_violations(tables: Tables) -> DataFrame:
 
 
 def foreign_key_violations(tables: Tables) -> DataFrame:
-    """Rows whose reference has no parent, per rule."""
+    """Rows whose reference has no parent, per rule; the rules on one parent share a grouping."""
+    found = []
+    for parent, keys in dict.fromkeys((parent, keys) for _, keys, parent in FOREIGN_KEYS):
+        children = [child for child, k, p in FOREIGN_KEYS if (p, k) == (parent, keys)]
+        members = {name: (tables[name], list(keys)) for name in (parent, *children)}
+        found.append(reference_gaps(members, [(child, [parent]) for child in children]).select(
+            "child", F.lit(",".join(keys)).alias("key"), F.col("parents").alias("parent"), F.col("orphan_rows").alias("violating_rows"),
+        ))
+    return stack_rows(found)
+
+
+# -- an appended batch against the tables it is added to ----------------------
+def appended_key_violations(held: Tables, coming: Tables) -> DataFrame:
+    """(table, repeated_keys): keys of coming rows that the table holds already; ``coming`` is written."""
     return stack_rows([
-        orphan_rows(tables[child], list(keys), tables[parent]).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("violating_rows")
-        ).select(
-            F.lit(child).alias("child"), F.lit(",".join(keys)).alias("key"), F.lit(parent).alias("parent"),
-            "violating_rows",
-        )
-        for child, keys, parent in FOREIGN_KEYS
+        held_keys(held[name], rows.dropna(subset=list(PRIMARY_KEYS[name])), list(PRIMARY_KEYS[name])).agg(
+            F.count("*").alias("repeated_keys")
+        ).select(F.lit(name).alias("table"), "repeated_keys")
+        for name, rows in coming.items()
     ])
 
 
+def appended_reference_violations(held: Tables, coming: Tables) -> DataFrame:
+    """As foreign_key_violations, for coming rows: a parent may come with them or be held already."""
+    found = []
+    for child, keys, parent in FOREIGN_KEYS:
+        if child not in coming:
+            continue
+        key = list(keys)
+        known = coming.get(parent, held[parent].limit(0))
+        wanted = materialize(orphan_rows(coming[child], key, known), "wanted")
+        missing = wanted.join(held_keys(held[parent], wanted, key), key, "left_anti")
+        found.append(missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violating_rows")).select(
+            F.lit(child).alias("child"), F.lit(",".join(keys)).alias("key"), F.lit(parent).alias("parent"), "violating_rows",
+        ))
+    return stack_rows(found)
+
+
 def _fits(column: str, have: str, sql_type: str) -> tuple[F.Column, F.Column]:
     """(violation, longest text) of a value of type ``have`` against its declared type."""
     col = named(column)

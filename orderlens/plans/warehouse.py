@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from orderlens.functions import named
 from orderlens.operators.conform import to_table, to_untyped_table
 from orderlens.operators.numbering import dense_ids
-from orderlens.plans import quality
+from orderlens.plans import quality, staging
 from orderlens.plans.marts import Marts
-from orderlens.schema import LOAD_ORDER, SHEET_OF_TABLE, table_columns
+from orderlens.schema import LOAD_ORDER, PRIMARY_KEYS, SHEET_OF_TABLE, table_columns
 from orderlens.session import run_together, work_path
+from orderlens.sources.files import read_optional
 from orderlens.sources.tables import session_of
 
 SOURCE_FACTS = (
@@ -79,64 +80,96 @@ def create_schema(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name in LOAD_ORDER:
         columns = ", ".join(f"{c} {t}" for c, t in table_columns(name))
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+        # Appended loads are folders inside the table's.
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true')")
 
 
 def load(
     sheets: Mapping[str, DataFrame],
     database: str = "orderlens_dw",
     location: str | None = None,
-    analytics: DataFrame | None = None,
+    analytics: DataFrame | str | None = None,
     with_analytics: bool = True,
     append: bool = False,
     validate: bool = True,
 ) -> dict[str, DataFrame]:
     """Create and fill the warehouse; returns the loaded tables.
 
-    Loading replaces the rows, so it can be run again; ``append`` adds to them instead.
-    ``analytics`` takes analytics rows written earlier; otherwise they are built from the
-    sheets, unless ``with_analytics`` is off, which leaves that table empty. ``validate``
-    checks primary and foreign keys of what the tables are to hold before anything is
-    written, and fails naming the rules, so a rejected load leaves the tables as they were.
-    Text longer than its column fails its insert, and a number out of its column's range fails
-    the load; ``quality.type_violations`` of ``untyped_tables`` counts both beforehand.
+    Loading replaces the rows, so it can be run again; ``append`` adds to them instead, and leaves out carriers
+    and products that are there already. ``analytics`` takes analytics rows made earlier, or the path they were
+    written to: where nothing was written, a warning says so and the table gets no rows. Otherwise they are built
+    from the sheets, unless ``with_analytics`` is off. ``validate`` checks primary and foreign keys.
+
+    All tables are staged first, see ``staging``: whatever fails, a value that does not fit its column, a broken
+    key or a table that cannot be moved, every table keeps the rows it had. Values that do not fit are named by
+    table and column, broken keys by rule. What was checked is what was written: no table is derived twice.
     """
     spark = session_of(sheets)
     create_schema(spark, database, location or work_path(spark, database))
-
-    def insert(name: str, rows: DataFrame) -> None:
-        target = rows.select(*[named(c) for c, _ in table_columns(name)]).write
-        target.insertInto(f"{database}.{name}", overwrite=not append)
-
-    present = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+    staging.recover(spark, database)
+    held = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
     coming = {n: table(sheets, n) for n in LOAD_ORDER if n != "fact_delivery_analytics"}
-    if with_analytics:
-        last = present["fact_delivery_analytics"].agg(F.max("analytics_id")).first()[0] if append else None
-        rows = Marts(sheets).analytics_rows if analytics is None else analytics
+    if append:
+        for name in ("dim_carrier", "dim_product"):
+            coming[name] = coming[name].join(held[name], list(PRIMARY_KEYS[name]), "left_anti")
+    rows = _analytics_rows(spark, sheets, analytics) if with_analytics else None
+    if rows is not None:
+        last = held["fact_delivery_analytics"].agg(F.max("analytics_id")).first()[0] if append else None
         coming["fact_delivery_analytics"] = number_analytics(rows, last or 0)
-    if validate:
-        empty = {n: df.limit(0) for n, df in present.items()}
-        require_keys({n: _to_hold(present[n] if append else empty[n], coming.get(n), n) for n in LOAD_ORDER})
-    # Dimensions and facts are independent once checked; analytics refers to landed rows only.
-    run_together([lambda n=n, rows=rows: insert(n, rows) for n, rows in coming.items()])
+    elif not append:
+        coming["fact_delivery_analytics"] = held["fact_delivery_analytics"].limit(0)
+    staged = staging.StagedLoad(spark, database, append)
+    try:
+        _stage(staged, coming, sheets)
+        if validate:
+            require_keys(staged.rows, held if append else None)
+    except Exception:
+        staged.discard()
+        raise
+    staged.publish()
     return {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
 
 
-def _to_hold(present: DataFrame, coming: DataFrame | None, name: str) -> DataFrame:
-    """Rows of a table after the load."""
-    if coming is None:
-        return present
-    return present.unionByName(coming.select(*[named(c).cast(t).alias(c) for c, t in table_columns(name)]))
+def _analytics_rows(spark: SparkSession, sheets: Mapping[str, DataFrame], analytics: DataFrame | str | None) -> DataFrame | None:
+    if analytics is None:
+        return Marts(sheets).analytics_rows
+    return read_optional(spark, analytics) if isinstance(analytics, str) else analytics
+
 
+def _stage(staged: staging.StagedLoad, coming: Mapping[str, DataFrame], sheets: Mapping[str, DataFrame]) -> None:
+    """Stage the tables; if a value does not fit, say which table and column has how many."""
+    try:
+        staged.stage(coming)
+    except Exception as error:
+        found = quality.type_violations(untyped_tables(sheets)).where("violating_rows > 0").collect()
+        if not found:
+            raise
+        named_ = "; ".join(f"{r['table']}.{r['column']} {r['declared']}: {r['violating_rows']} rows" for r in found)
+        raise ValueError(f"values that do not fit: {named_}") from error
 
-def require_keys(tables: Mapping[str, DataFrame]) -> None:
-    """Raise if a table breaks its primary key or a reference. At most one row per rule is fetched."""
-    broken = [
-        f"{r['table']} primary key: {r['duplicate_rows']} duplicate, {r['null_key_rows']} null"
-        for r in quality.primary_key_violations(tables).where("duplicate_rows > 0 OR null_key_rows > 0").collect()
-    ] + [
-        f"{r['child']}({r['key']}) -> {r['parent']}: {r['violating_rows']} rows"
-        for r in quality.foreign_key_violations(tables).where("violating_rows > 0").collect()
+
+def require_keys(tables: Mapping[str, DataFrame], held: Mapping[str, DataFrame] | None = None) -> None:
+    """Raise if a table breaks its primary key or a reference. At most one row per rule is fetched.
+
+    With ``held``, the ``tables`` are written rows to be added to those: the rows that are there are looked up
+    by the keys that come, and are neither grouped nor checked again.
+    """
+    checks = [
+        lambda: [
+            f"{r['table']} primary key: {r['duplicate_rows']} duplicate, {r['null_key_rows']} null"
+            for r in quality.primary_key_violations(tables).where("duplicate_rows > 0 OR null_key_rows > 0").collect()
+        ],
+        lambda: [
+            f"{r['table']} primary key: {r['repeated_keys']} keys are there already"
+            for r in quality.appended_key_violations(held, tables).where("repeated_keys > 0").collect()
+        ] if held is not None else [],
+        lambda: [
+            f"{r['child']}({r['key']}) -> {r['parent']}: {r['violating_rows']} rows"
+            for r in (
+                quality.foreign_key_violations(tables) if held is None else quality.appended_reference_violations(held, tables)
+            ).where("violating_rows > 0").collect()
+        ],
     ]
+    broken = [line for found in run_together(checks) for line in found]
     if broken:
         raise ValueError("key violations: " + "; ".join(broken))

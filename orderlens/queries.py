@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from orderlens.functions import named
 from orderlens.operators import checks
 from orderlens.operators.checks import stack_rows
-from orderlens.plans import feeders, kpis, quality, warehouse
+from orderlens.plans import feeders, kpis, quality, staging, warehouse
 from orderlens.plans.marts import Marts, preview, write_marts
-from orderlens.schema import SHEETS
+from orderlens.schema import REFERENCE_RULES, SHEETS
 from orderlens.session import materialize, tune, work_path
 from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
@@ -102,8 +102,9 @@ def fact_delivery_analytics(b: Bridge) -> DataFrame:
 @_query
 def load_warehouse(b: Bridge) -> DataFrame:
     # A database per call: the result stays this folder's, whatever is loaded later.
-    loaded = warehouse.load(b.sheets().landed(*_ITEMS), f"orderlens_dw_{uuid.uuid4().hex}")
-    return stack_rows([_report_rows(df, name) for name, df in loaded.items()])
+    database = f"orderlens_dw_{uuid.uuid4().hex}"
+    warehouse.load(b.sheets().landed(*_ITEMS), database)
+    return staging.published_rows(b.spark, database).select("table", "row_count")
 
 
 @_query
@@ -302,10 +303,8 @@ def dq_full_row_duplicates(b: Bridge) -> DataFrame:
 @_query
 def dq_orphans(b: Bridge) -> DataFrame:
     """The six rules, and orders no item refers to."""
-    sheets = b.lean_sheets()
-    key = "Sales Document"
-    itemless = checks.orphans(sheets["VBAK"], "VBAK", key, sheets["VBAP"], "VBAP", key)
-    return quality.orphans(sheets).unionByName(itemless)
+    itemless = ("VBAK", "Sales Document", "VBAP", "Sales Document")
+    return quality.orphans(b.lean_sheets(), [*REFERENCE_RULES, itemless])
 
 
 @_query

@@ -144,3 +144,33 @@ def export_for_bi(tables: Mapping[str, DataFrame], root: str) -> None:
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Append to a relational table; needs the database's JDBC driver on the classpath."""
     df.write.jdbc(url, table, mode="append", properties=properties)
+
+
+# -- folders, wherever Spark's paths lead --------------------------------------
+def _folder(spark: SparkSession, path: str):
+    """The path's file system and the path, as Spark's own readers resolve them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _folder(spark, path)
+    return system.exists(at)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    system, at = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    system, at = _folder(spark, old)
+    if not system.rename(at, _folder(spark, new)[1]):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, if it is there."""
+    system, at = _folder(spark, path)
+    system.delete(at, True)
