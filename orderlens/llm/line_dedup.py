@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import WORD, components
-from orderlens.llm.hashing import mix, powers, runs
+from orderlens.llm.hashing import mix, powers, runs, windows
 from orderlens.session import materialize
 
 #: Most edits of a link.
@@ -36,6 +36,9 @@ SEGMENT = 10
 #: Code points of a line that takes part at least, unless another number is asked for.
 MIN_CHARS = 20
 BUCKET = 32
+#: Code points of the grams that tell lines of a crowded bucket apart; fewer than SEGMENT, so that a line has more
+#: of them than its edits change, unless it repeats itself.
+GRAM = 8
 
 
 def lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
@@ -176,15 +179,49 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
     return answer
 
 
-def _across(many: DataFrame, near: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs (a, b) that meet in buckets ``many`` and that the links ``near`` leave in different components."""
+def _grams(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(h, root, gram, enough) for the distinct grams of each line: ``enough`` is more of them than the line's edits
+    can change. A line that has no more than they change holds one gram besides, which all such lines share."""
+    for batch in batches:
+        for first, end, data, offsets in runs(batch.column("text")):
+            at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+            codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+            every = windows(mix(codes.astype(np.uint64) + np.uint64(1)), GRAM)
+            changed = GRAM * limit(np.diff(at), most)
+            grams, held = [], []
+            for k, few in enumerate(changed.tolist()):
+                own = np.unique(every[at[k] : max(at[k], at[k + 1] - GRAM + 1)])
+                own = own if len(own) > few else np.append(own, np.uint64(0))
+                grams.append(own.view(np.int64))
+                held.append(np.full(len(own), first + k))
+            rows = np.concatenate(held)
+            where = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h").take(where), batch.column("root").take(where), pa.array(np.concatenate(grams)), pa.array(changed[rows - first] + 1)],
+                ["h", "root", "gram", "enough"],
+            )
+
+
+def _across(many: DataFrame, near: DataFrame, held: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of lines in buckets ``many`` that may be within the limit and that the links ``near`` leave in
+    different components.
+
+    k edits change at most GRAM * k grams of a line. So of two lines within k edits, each ordered by how many of
+    these lines hold a gram, the rarest GRAM * k + 1 share one. Lines of one crowd differ in their rare grams.
+    """
     roots = components(near, "crowds").withColumnRenamed("id", "line")
     rows = many.join(held.select("h", "line"), "h").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    rows = materialize(rows.join(mixed.select("key"), "key").select("key", "h", "probes", "root"), "open")
-    a = rows.where("not probes").select("key", F.col("h").alias("a"), F.col("root").alias("root_a"))
-    b = rows.select("key", F.col("h").alias("b"), "probes", F.col("root").alias("root_b"))
-    return a.join(b, "key").where("root_a != root_b and (probes or a < b)").select("a", "b").distinct()
+    apart = materialize(rows.join(mixed.select("key"), "key").select("h", "root").distinct(), "open")
+    texts = held.groupBy("h").agg(F.min("text").alias("text"))
+    grams = apart.join(texts, "h").mapInArrow(lambda batches: _grams(batches, most), "h bigint, root binary, gram bigint, enough bigint")
+    grams = materialize(grams, "grams")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    placed = F.row_number().over(Window.partitionBy("h", "root").orderBy("n", "gram"))
+    rarest = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", placed)
+    rarest = materialize(rarest.where("(place <= enough or gram = 0) and n > 1").select("gram", "h", "root"), "rarest")
+    side = lambda name: rarest.select("gram", F.col("h").alias(name), F.col("root").alias(f"root_{name}"))
+    return side("a").join(side("b"), "gram").where("a < b and root_a != root_b").select("a", "b").distinct()
 
 
 def links(rows: DataFrame, most: int) -> DataFrame:
@@ -192,7 +229,7 @@ def links(rows: DataFrame, most: int) -> DataFrame:
 
     Until texts are compared a line goes by ``h``, a hash of half the size; lines that share it are all compared.
     """
-    texts = rows.where(F.char_length("text") >= 2 * SEGMENT).select("line", F.xxhash64("line").alias("h"), "text")
+    texts = rows.where(F.char_length("text") >= 2 * SEGMENT).select("line", F.xxhash64("text").alias("h"), "text")
     met = materialize(_buckets(texts, most), "met")
     held = materialize(texts.join(met.select("h").distinct(), "h", "left_semi").dropDuplicates(["line"]), "texts")
     few, many = met.where(F.col("n") <= BUCKET), met.where(F.col("n") > BUCKET)
@@ -208,7 +245,7 @@ def links(rows: DataFrame, most: int) -> DataFrame:
     near = materialize(verified(pairs.unionByName(stars).distinct()), "near")
     if many.isEmpty():
         return near
-    return near.unionByName(verified(_across(many, near, held)))
+    return near.unionByName(verified(_across(many, near, held, most)))
 
 
 def classes(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:

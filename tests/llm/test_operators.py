@@ -510,3 +510,38 @@ def test_toxicity_of_odd_rows(spark, none):
     assert len(rows) == 5 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in rows)
     assert toxicity.score(none, model).count() == 0
     assert toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).where("predicted = 1").count() == 0
+
+
+def crowd(rng, n):
+    """Lines that share a long beginning: most far apart, some within the limit of another, some of few grams."""
+    base = "a passage that very many documents hold word by word and that goes on for a while before it ends: "
+    tails = ["".join(rng.choice(list("abcdefghijklmnop "), 40)) for _ in range(n)]
+    lines = [base + t for t in tails]
+    lines += [base + t[:k % 37] + "#" * (k % 4) + t[k % 37 + k % 3 :] for k, t in enumerate(tails[: n // 5])]
+    return lines + ["-" * k for k in range(40, 100, 3)] + ["=" * 50 + "-" * k for k in range(40, 60)]
+
+
+def test_lines_of_a_crowded_bucket_equal_all_pairs(spark):
+    lines = list(dict.fromkeys(crowd(np.random.default_rng(8), 50)))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "doc_id bigint, text string").repartition(3)
+    near = [(a, b) for a, b in combinations(range(len(lines)), 2)
+            if abs(len(lines[a]) - len(lines[b])) <= 3 and lines[a][0] == lines[b][0]
+            and levenshtein(lines[a], lines[b]) <= line_dedup.limit(np.array([min(len(lines[a]), len(lines[b]))]), 3)[0]]
+    got = {r["doc_id"]: r["class_doc_id"] for r in line_dedup.line_classes(docs).collect()}
+    assert got == roots(range(len(lines)), near)
+
+
+def test_a_crowd_that_is_far_apart_forms_few_pairs(spark, monkeypatch):
+    """A thousand lines of one long beginning: the pairs that are formed grow with the lines, not with their square."""
+    lines = [t for t in crowd(np.random.default_rng(9), 1000)[:1000]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    formed, across = [], line_dedup._across
+
+    def counted(*args):
+        pairs = across(*args).cache()
+        formed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_across", counted)
+    got = line_dedup.line_classes(docs).collect()
+    assert len(got) == 1000 and len(formed) == 1 and formed[0] < 5000
