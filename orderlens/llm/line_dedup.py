@@ -39,6 +39,8 @@ BUCKET = 32
 #: Code points of the grams that tell lines of a crowded bucket apart; fewer than SEGMENT, so that a line has more
 #: of them than its edits change, unless it repeats itself.
 GRAM = 8
+#: Columns of 64 bits for the grams of a line.
+MARKS = [f"marks{k}" for k in range(16)]
 
 
 def lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
@@ -179,27 +181,29 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
     return answer
 
 
-def _grams(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """(h, root, gram, enough) for the distinct grams of each line: ``enough`` is more of them than the line's edits
-    can change. A line that has no more than they change holds one gram besides, which all such lines share."""
+def _grams(batches: Iterator[pa.RecordBatch], most: int, marks: bool) -> Iterator[pa.RecordBatch]:
+    """(h, gram, enough) for the distinct grams of each line: ``enough`` is more of them than the line's edits can
+    change. A line that has no more than they change holds one gram besides, which all such lines share.
+
+    With ``marks`` instead (h, *MARKS) for each line: its grams as bits, so that lines differ in no more bits than grams.
+    """
     for batch in batches:
         for first, end, data, offsets in runs(batch.column("text")):
             at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
             codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
             every = windows(mix(codes.astype(np.uint64) + np.uint64(1)), GRAM)
-            changed = GRAM * limit(np.diff(at), most)
-            grams, held = [], []
-            for k, few in enumerate(changed.tolist()):
-                own = np.unique(every[at[k] : max(at[k], at[k + 1] - GRAM + 1)])
-                own = own if len(own) > few else np.append(own, np.uint64(0))
-                grams.append(own.view(np.int64))
-                held.append(np.full(len(own), first + k))
-            rows = np.concatenate(held)
-            where = pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("h").take(where), batch.column("root").take(where), pa.array(np.concatenate(grams)), pa.array(changed[rows - first] + 1)],
-                ["h", "root", "gram", "enough"],
-            )
+            changed, names = GRAM * limit(np.diff(at), most), batch.column("h").slice(first, end - first)
+            own = [np.unique(every[at[k] : max(at[k], at[k + 1] - GRAM + 1)]) for k in range(end - first)]
+            if marks:
+                bits = np.zeros((len(own), len(MARKS)), np.uint64)
+                for k, grams in enumerate(own):
+                    np.bitwise_or.at(bits[k], (grams >> np.uint64(6)) % len(MARKS), np.uint64(1) << (grams & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays([names, *(pa.array(b.view(np.int64)) for b in np.ascontiguousarray(bits.T))], ["h", *MARKS])
+                continue
+            own = [g if len(g) > few else np.append(g, np.uint64(0)) for g, few in zip(own, changed.tolist())]
+            line = np.repeat(np.arange(len(own)), [len(g) for g in own])
+            columns = [names.take(pa.array(line)), pa.array(np.concatenate(own).view(np.int64)), pa.array(changed[line] + 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "gram", "enough"])
 
 
 def _across(many: DataFrame, near: DataFrame, held: DataFrame, most: int) -> DataFrame:
@@ -207,21 +211,27 @@ def _across(many: DataFrame, near: DataFrame, held: DataFrame, most: int) -> Dat
     different components.
 
     k edits change at most GRAM * k grams of a line. So of two lines within k edits, each ordered by how many of
-    these lines hold a gram, the rarest GRAM * k + 1 share one. Lines of one crowd differ in their rare grams.
+    these lines hold a gram, the rarest GRAM * k + 1 share one, and their marks differ in 2 * GRAM * k bits at most.
+    Lines of one crowd differ in their rare grams.
     """
     roots = components(near, "crowds").withColumnRenamed("id", "line")
     rows = many.join(held.select("h", "line"), "h").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
     apart = materialize(rows.join(mixed.select("key"), "key").select("h", "root").distinct(), "open")
-    texts = held.groupBy("h").agg(F.min("text").alias("text"))
-    grams = apart.join(texts, "h").mapInArrow(lambda batches: _grams(batches, most), "h bigint, root binary, gram bigint, enough bigint")
-    grams = materialize(grams, "grams")
+    texts = held.join(apart.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    texts = materialize(texts, "crowded")
+    grams = texts.mapInArrow(lambda batches: _grams(batches, most, False), "h bigint, gram bigint, enough bigint")
     counts = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    placed = F.row_number().over(Window.partitionBy("h", "root").orderBy("n", "gram"))
-    rarest = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", placed)
-    rarest = materialize(rarest.where("(place <= enough or gram = 0) and n > 1").select("gram", "h", "root"), "rarest")
-    side = lambda name: rarest.select("gram", F.col("h").alias(name), F.col("root").alias(f"root_{name}"))
-    return side("a").join(side("b"), "gram").where("a < b and root_a != root_b").select("a", "b").distinct()
+    placed = F.row_number().over(Window.partitionBy("h").orderBy("n", "gram"))
+    ranked = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", placed)
+    rarest = ranked.where("(place <= enough or gram = 0) and n > 1").select("gram", "h", "enough")
+    marks = texts.mapInArrow(lambda batches: _grams(batches, most, True), "h bigint, " + ", ".join(f"{m} bigint" for m in MARKS))
+    rarest = materialize(rarest.join(marks, "h").join(apart, "h"), "rarest")
+    side = lambda name: rarest.select("gram", *[F.col(c).alias(f"{c}_{name}") for c in ("h", "root", "enough", *MARKS)])
+    differ = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MARKS), F.lit(0))
+    alike = differ <= 2 * (F.least("enough_a", "enough_b") - 1)
+    met = side("a").join(side("b"), "gram").where((F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")) & alike)
+    return met.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
 
 def links(rows: DataFrame, most: int) -> DataFrame:
