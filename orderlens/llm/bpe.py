@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Pieces of at most so many characters whose ids a worker remembers, and how many of them.
-SHORT, REMEMBERED = 48, 300_000
+SHORT, REMEMBERED = 48, 500_000
 #: Words of up to so many bytes are merged side by side, longer ones one by one.
 MANY = 64
 #: Bytes of text, or ids, that are worked on together.
@@ -229,16 +229,21 @@ class Coder:
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces."""
         cut = [words(piece) for piece in pieces]
-        new = list({word for one in cut for word in one})
-        of_word = dict(zip(new, self.words(new)))
+        of_word = {word: self.known(word) for one in cut for word in one}
+        new = [word for word, ids in of_word.items() if ids is None]
+        of_word.update(zip(new, self.words(new)))
         return {piece: b"".join(map(of_word.__getitem__, one)) for piece, one in zip(pieces, cut)}
 
+    def known(self, word: str) -> bytes | None:
+        """Ids of a word that is a remembered piece."""
+        return self.spaced.get(word[1:]) if word[0] == " " else self.bare.get(word)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text. The pieces that are not remembered are encoded together."""
         parts = [self.cut.split(text or "") if self.cut else [text or ""] for text in texts]
         cut = [[_pieces(t) for t in one[::2]] for one in parts]
-        firsts = {first for one in cut for first, _ in one} - self.bare.keys()
-        rests = {word for one in cut for _, rest in one for word in rest} - self.spaced.keys()
+        firsts = {first for one in cut for first, _ in one if first not in self.bare}
+        rests = {word for one in cut for _, rest in one for word in set(rest) if word not in self.spaced}
         new = self.learn([*firsts, *(" " + word for word in rests)])
         for known, words_, space in ((self.bare, firsts, ""), (self.spaced, rests, " ")):
             known.update((w, new[space + w]) for w in words_)
