@@ -63,6 +63,8 @@ def _young() -> frozenset[str]:
 
 def words(text: str) -> list[str]:
     """``text`` cut into words."""
+    if text.removeprefix(" ").isalpha():
+        return [text]
     if text.isascii() or _young().isdisjoint(text):
         return _WORDS.findall(text)
     known = "".join(_OTHER if c in _young() else c for c in text)
