@@ -316,7 +316,9 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     decode = coder(path).decode
     for batch in batches:
         for part in _slices(batch, pc.list_value_length(batch.column(1)), CHARS):
-            texts = [decode(ids.as_py() or []) for ids in part.column(1)]
+            ids = part.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum([0, *pc.list_value_length(part.column(1)).fill_null(0).to_pylist()]).tolist()
+            texts = [decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
 
