@@ -1,4 +1,7 @@
-"""Token ids by a public byte-level BPE vocabulary, as little-endian unsigned 32-bit bytes."""
+"""Token ids by a public byte-level BPE vocabulary, as little-endian unsigned 32-bit bytes.
+
+The vocabulary's special token has an id of its own wherever a text holds it.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +17,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words whose ids a worker remembers; beyond that they are encoded each time.
 REMEMBERED = 300_000
 
+# The vocabulary's special token and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
+
 _TWO_WHITE = re.compile(r"\s\s")
 
 
@@ -38,6 +44,8 @@ class Encoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if SPECIAL in text:
+            return np.array([SPECIAL_ID], "<u4").tobytes().join(map(self.encode, text.split(SPECIAL)))
         if _TWO_WHITE.search(text):
             return self.plain(text)
         first, *words = text.split(" ")
