@@ -4,8 +4,9 @@ The index is split into shards of rows. In a shard every dimension's postings ar
 of equal quantised value. A query multiplies a segment's bounds by its own weight, which gives the
 segment's impact, and takes all dimensions' segments by descending impact. After a step, a row's
 score is at most what its seen postings add plus, for each unseen dimension, the impact of the next
-segment. Scoring stops only when that bound proves that few rows can still be among the k best (or
-when all is seen); those are rescored exactly, so the result is exact whatever the quantisation.
+segment, or of the dimension's best one if none of it has been reached. Scoring stops only when that
+bound proves that no more than a few times k rows can still be among the k best, whatever the size of
+the shard, or when all is seen; those are rescored exactly, so the result is exact whatever the quantisation.
 
 Query blocks are matched with shards by an equi-join, both bounded; a shard returns k rows a query.
 """
@@ -24,62 +25,79 @@ from orderlens.session import materialize
 
 K = 5
 SHARD_ROWS = 16384
-BLOCK_QUERIES = 128
+BLOCK_QUERIES = 1024
 #: Width of a segment's values.
-LEVEL = 16
+LEVEL = 4
 #: Shares of a shard's postings after which the proof is tried.
-TRIES = (0.45, 0.6, 0.8, 1.0)
-#: Rows of a shard that may be rescored before everything is seen.
-RESCORED = 8192
+TRIES = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 1.0)
+#: Times k: rows that may still be possible when scoring stops before everything is seen.
+POSSIBLE = 4
 
 
 class Index:
-    """Impact-ordered postings of one shard."""
+    """Impact-ordered postings of one shard; ``read`` and ``rescored`` count postings and rows over its queries."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.vectors = ids, vectors
-        order = np.argsort(vectors, axis=0, kind="stable").T  # by dimension: rows by value
-        dims, bounds, low, high = [], [], [], []
-        for d in range(vectors.shape[1]):
-            values = vectors[order[d], d]
-            levels = values // LEVEL
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(levels)) + 1, [len(ids)]])
+        self.ids, self.vectors, self.read, self.rescored = ids, vectors, 0, 0
+        self.largest = float(np.abs(vectors.astype(float)).max())
+        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)  # by dimension: rows by value
+        dims, low, high, sizes, self.lows, self.highs = [], [], [], [], np.empty(self.order.shape), np.empty(self.order.shape)
+        for d, order in enumerate(self.order):
+            values = vectors[order, d]
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(values // LEVEL)) + 1, [len(ids)]])
             dims.append(np.full(len(cut) - 1, d))
-            bounds.append(np.stack([cut[:-1], cut[1:]], axis=1) + d * len(ids))
             low.append(values[cut[:-1]])
             high.append(values[cut[1:] - 1])
-        self.dims, self.bounds = np.concatenate(dims), np.concatenate(bounds)
-        self.low, self.high = np.concatenate(low), np.concatenate(high)
-        self.postings = order.ravel()
+            sizes.append(np.diff(cut))
+            self.lows[d], self.highs[d] = np.repeat(low[-1], sizes[-1]), np.repeat(high[-1], sizes[-1])
+        self.dims, self.sizes, self.low, self.high = (np.concatenate(x) for x in (dims, sizes, low, high))
+
+    def _postings(self, d: int, weight: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and impacts of a dimension's postings from place ``first`` to ``last`` by descending impact."""
+        n = len(self.ids)
+        at = slice(n - last, n - first) if weight > 0 else slice(first, last)
+        return self.order[d, at], float(weight) * (self.highs if weight > 0 else self.lows)[d, at]
 
     def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows other than ``own``, ties to the smaller id."""
         n, dim = self.vectors.shape
-        weight = query[self.dims]
-        impact = np.maximum(weight * self.low, weight * self.high)
+        if self.largest * float(np.abs(query.astype(float)).max()) * dim >= 2.0**62:
+            raise ValueError(f"scores of query {own} do not fit a long")
+        segments = np.flatnonzero(query[self.dims])  # a dimension without weight adds nothing
+        weight = query[self.dims[segments]]
+        impact = np.maximum(weight * self.low[segments], weight * self.high[segments])
         turn = np.argsort(-impact, kind="stable")
-        sizes = (self.bounds[:, 1] - self.bounds[:, 0])[turn]
+        impact, dims, sizes = impact[turn], self.dims[segments[turn]], self.sizes[segments[turn]]
+        highest = np.zeros(dim)  # of a dimension
+        highest[dims[::-1]] = impact[::-1]
         done = np.cumsum(sizes)
-        steps = np.unique(np.searchsorted(done, np.array(TRIES) * done[-1]) + 1).clip(max=len(turn))
-        seen, count = np.zeros(n), np.zeros(n, np.int64)
-        slack = float(np.abs(impact).max()) * dim * dim * 2.0**-52  # what rounding may take off a bound
+        steps = np.unique(np.searchsorted(done, np.array(TRIES) * done[-1]) + 1).clip(max=len(turn)) if len(turn) else [0]
+        slack = float(np.abs(impact).max(initial=0)) * dim * dim * 2.0**-52  # what rounding may take off a bound
+        seen, count, reached = np.zeros(n), np.zeros(n, np.int64), np.zeros(dim, np.int64)
         at = 0
         for step in steps:
-            rows = np.concatenate([self.postings[lo:hi] for lo, hi in self.bounds[turn[at:step]]])
-            seen += np.bincount(rows, np.repeat(impact[turn[at:step]], sizes[at:step]), n)
-            count += np.bincount(rows, minlength=n)
-            at = step
+            until = reached + np.bincount(dims[at:step], sizes[at:step], dim).astype(np.int64)
+            parts = [self._postings(d, query[d], reached[d], until[d]) for d in np.flatnonzero(until > reached)]
+            if parts:
+                rows = np.concatenate([r for r, _ in parts])
+                seen += np.bincount(rows, np.concatenate([i for _, i in parts]), n)
+                count += np.bincount(rows, minlength=n)
+                self.read += len(rows)
+            at, reached = step, until
             bound = seen + slack
             if step < len(turn):
-                bound = bound + (dim - count) * float(impact[turn[step]])
+                following = float(impact[step])
+                started = reached > 0
+                bound += highest[~started].sum() + (started.sum() - count) * following
             few = min(n, 2 * k + 1)
             top = np.argpartition(-bound, few - 1)[:few]
             proven = np.sort((self.vectors[top] @ query)[self.ids[top] != own])[::-1]
             least = proven[k - 1] if len(proven) >= k else np.iinfo(np.int64).min
             possible = np.flatnonzero(bound >= least)
-            if step == len(turn) or len(possible) <= RESCORED:
+            if step == len(turn) or len(possible) <= POSSIBLE * k:
                 break
         possible = possible[self.ids[possible] != own]
+        self.rescored += len(possible)
         scores = self.vectors[possible] @ query
         first = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible[first]], scores[first]
@@ -124,7 +142,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     Both frames have vec_id and vector (an array of integers); a query is no candidate of its own, that
     is rows of its vec_id are passed over. Ties go to the smaller vec_id. Rows without id take no part,
     nor do null vectors or components; vectors are compared within one length. Rows of ``vectors`` that
-    share a vec_id are candidates each; queries should not. Other columns are ignored.
+    share a vec_id are candidates each; queries should not. Other columns are ignored. Components so large that
+    a score might not fit a long raise an error.
     """
     shards = _spread(_vectors(vectors), SHARD_ROWS, "shards")
     blocks = _spread(_vectors(queries), BLOCK_QUERIES, "blocks")

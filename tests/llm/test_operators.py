@@ -271,11 +271,11 @@ def test_permutation_is_one(spark):
         assert sorted(r["p"] for r in got) == list(range(n))
 
 
-@pytest.mark.parametrize("rescored", [256, 0])
-def test_top_k_equals_all_scores(spark, rescored, monkeypatch):
+@pytest.mark.parametrize("possible", [4, 0])
+def test_top_k_equals_all_scores(spark, possible, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 40)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 2)
-    monkeypatch.setattr(topk, "RESCORED", rescored)
+    monkeypatch.setattr(topk, "POSSIBLE", possible)
     rng = np.random.default_rng(2)
     vectors = {k: rng.integers(-60, 60, 8).tolist() for k in range(150)}
     vectors |= {150: vectors[0], 151: vectors[0], 200: [0] * 8, 250: [1, 2], 300: [3, 4]}
@@ -292,6 +292,32 @@ def test_top_k_equals_all_scores(spark, rescored, monkeypatch):
     assert topk.top_k(empty, empty).count() == 0
 
 
+def test_top_k_reads_and_rescores_few_where_rows_have_structure():
+    """Rows around centres: most postings stay unread, and no more than a few times k rows are rescored."""
+    rng = np.random.default_rng(8)
+    centres = rng.laplace(size=(300, 64)) ** 3
+    vectors = centres[rng.integers(0, 300, 6000)] + 0.05 * rng.normal(size=(6000, 64))
+    vectors = np.floor(256 * vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.int64)
+    ids = rng.permutation(6000)
+    index = topk.Index(ids, vectors)
+    for q in range(20):
+        found, scores = index.best(vectors[q], ids[q], 5)
+        every = vectors @ vectors[q]
+        expected = sorted((-every[r], ids[r]) for r in range(6000) if r != q)[:5]
+        assert list(zip(-scores, found)) == expected
+    assert index.rescored < 20 * 60 and index.read < 0.7 * 20 * vectors.size
+
+
+def test_top_k_of_zero_negative_and_huge_weights():
+    vectors = np.array([[1, -2, 0], [3, 0, 0], [-5, 4, 0], [3, 0, 7]])
+    index = topk.Index(np.array([4, 3, 2, 1]), vectors)
+    for query in ([0, 0, 0], [-1, 2, 0], [0, -3, 5], [1, 0, 0]):
+        found, scores = index.best(np.array(query), 9, 5)
+        assert list(zip(found, scores)) == sorted(zip([4, 3, 2, 1], vectors @ query), key=lambda x: (-x[1], x[0]))
+    with pytest.raises(ValueError, match="fit a long"):
+        index.best(np.array([2**60, 0, 0]), 9, 5)
+
+
 def test_embedding_links_equal_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
     rng = np.random.default_rng(4)
@@ -357,8 +383,11 @@ def test_escapes_are_reversible(text):
 def test_packing_puts_every_id_into_one_piece(spark, docs, texts, none):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     spaced = "a  b \n c\t\td e\u00a0 f don't  "
-    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(900, spaced), (None, spaced)], "doc_id bigint, text string"))
-    by_id = {**dict(enumerate(texts)), 900: spaced, None: spaced}
+    end = "<|endoftext|>"
+    marked = {901: end, 902: f"a{end}b", 903: f"x {end}{end} y  {end}\n", 904: "<|endoftext|", 905: f"two words{end} three"}
+    more = [(900, spaced), (None, spaced), *marked.items()]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id bigint, text string"))
+    by_id = {**dict(enumerate(texts)), 900: spaced, None: spaced, **marked}
     pieces = packing.pack(rows).collect()
     whole, sequences = defaultdict(list), defaultdict(list)
     for p in pieces:
