@@ -260,6 +260,42 @@ def test_mixed_documents_hold_what_the_mix_takes(spark, docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
 
 
+def test_shards_draw_multinomial_counts(spark, monkeypatch):
+    """Counts of a source sum to its total, cover its slots without gaps and spread evenly over the shards."""
+    monkeypatch.setattr(mixing, "SHARD", 500)
+    sizes = spark.createDataFrame([("a", 400_000), ("b", 900_000), ("c", 100), (None, 0)], "source string, source_size bigint")
+    sources = mixing.targets(sizes).cache()
+    counts = defaultdict(list)
+    for r in mixing.shard_counts(sources).orderBy("source_no", "shard").collect():
+        counts[r["source_no"]].append((r["shard"], r["first"], r["until"]))
+    totals = {r["source_no"]: round(r["target"] * -(-r["source_size"] // mixing.BLOCK) / r["source_size"]) for r in sources.where("source_size > 0").collect()}
+    shards = -(-sum(totals.values()) // 500)
+    for source, total in totals.items():
+        ends = [0, *(until for _, _, until in counts[source])]
+        assert ends[-1] == total and [first for _, first, _ in counts[source]] == ends[:-1]
+        drawn = {shard: until - first for shard, first, until in counts[source]}
+        square = sum((drawn.get(k, 0) - total / shards) ** 2 / (total / shards) for k in range(shards))
+        assert set(drawn) <= set(range(shards)) and square < shards + 5 * (2 * shards) ** 0.5
+    slots = mixing.slots(sources).collect()
+    got = defaultdict(list)
+    for r in slots:
+        got[r["source_no"], r["shard"]].append(r["slot"])
+    assert {key: (min(v), max(v) + 1, len(v)) for key, v in got.items()} == {
+        (s, shard): (first, until, until - first) for s, rows in counts.items() for shard, first, until in rows
+    }
+
+
+def test_mixed_documents_pass_on_columns_of_any_name(spark, docs):
+    names = ["d", "S", "k", "spans", "twin", "_k", "_twin", "id", "of", "key", "copy", "c0", "slot", "shard", "pass", "block", "part"]
+    extra = docs.select("*", *[F.concat(F.lit(n), F.lit(" "), "doc_id").alias(n) for n in names], F.create_map(F.lit(1), "doc_id").alias("set"))
+    mixed = mixing.mixed_documents(extra)
+    assert mixed.columns == extra.columns
+    rows = mixed.collect()
+    assert all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in names) and all(r["set"] == {1: r["doc_id"]} for r in rows)
+    key = lambda r: (r["doc_id"], r["text"], r["n_chars"])
+    assert sorted(map(key, rows)) == sorted(map(key, mixing.mixed_documents(docs).collect()))
+
+
 def test_mix_takes_no_python(docs, capsys):
     mixing.mix(docs).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
