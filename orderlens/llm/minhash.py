@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import components
+from orderlens.llm.common import WORD, components, union_all
 from orderlens.llm.hashing import mix, shingle_sets
 from orderlens.session import materialize
 
@@ -234,3 +234,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: the one of the smallest doc_id, and one row of it.
+
+    Rows without doc_id are in no group; of those with equal shingle sets one stays, and all whose set is
+    empty. Of several rows of a doc_id, one with words is preferred. Other columns pass through, whatever
+    their names and types.
+    """
+    at = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values()).select(
+        F.col(at["doc_id"]).cast("bigint").alias("id"), F.col(at["text"]).cast("string").alias("text"), F.struct(*at.values()).alias("row")
+    )
+    gone = near_duplicates(docs).where("doc_id is not null and not kept").select(F.col("doc_id").alias("id")).distinct()
+    left = rows.where("id is not null").join(gone, "id", "left_anti")
+    repeated = left.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    once = left.join(repeated, "id", "left_anti").select("row")
+    more = _one_row(left.join(repeated, "id", "left_semi"), "id")
+    nameless = with_set(rows.where("id is null")).select("set", "row.text", F.col("row.row").alias("row"))
+    same = _one_row(nameless.where("set is not null"), "set")
+    return union_all([once, more, same, nameless.where("set is null").select("row")]).select("row.*").toDF(*docs.columns)
+
+
+def _one_row(rows: DataFrame, key: str) -> DataFrame:
+    """Of the rows of each key one that has words, if any does: the first by a hash of the row, then by the row."""
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    whole = F.to_json("row")
+    order = F.struct(wordless.alias("wordless"), F.xxhash64(whole).alias("hash"), whole.alias("whole"))
+    return rows.groupBy(key).agg(F.min_by("row", order).alias("row")).select("row")

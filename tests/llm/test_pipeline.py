@@ -52,6 +52,18 @@ def test_near_duplicate_stage_keeps_one_row_of_a_document(spark):
     assert sorted((r[1] or "").lower() for r in got if r[0] is None) == sorted(["", "", text, other])
 
 
+def test_near_duplicate_stage_passes_on_columns_of_any_name(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(4, text), (2, text), (2, text), (2, "other words"), (1, "something else altogether, of six words"), (None, text), (None, text), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "doc_id as set", "text as row", "map(1, text) as id", "1 as n", "2 as key", "3 as c0", "4 as kept", "5 as Hash", "6 as whole"
+    )
+    left = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    got = left.collect()
+    assert left.columns == docs.columns and all(r["set"] == r["doc_id"] and r["row"] == r["text"] == r["id"][1] for r in got)
+    assert Counter(r["doc_id"] for r in got) == {1: 1, 2: 1, None: 2}
+
+
 def test_run_packs_all_that_is_left(spark):
     pieces = corpus_pipeline.run(spark, ROOT)
     assert pieces.count() > 0
