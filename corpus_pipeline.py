@@ -6,11 +6,10 @@ the next stage's docs. All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import line_dedup, minhash, mixing, packing, quality
-from orderlens.llm.common import WORD, table, union_all
+from orderlens.llm.common import table
 from orderlens.llm.queries import ready
 from orderlens.session import materialize
 
@@ -28,26 +27,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one of the smallest doc_id, and one row of it.
-
-    Rows without doc_id are in no group; of those with equal shingle sets one stays, and all whose set is empty.
-    """
+    """One document of each group: the one of the smallest doc_id, and one row of it."""
     ready(spark)
-    groups = minhash.near_duplicates(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
-    left = docs.where("doc_id is not null").join(groups, "doc_id", "left_anti").select(*docs.columns)
-    repeated = left.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    once = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    more = _one_row(left.join(repeated, "doc_id", "left_semi").select(*docs.columns), F.col("doc_id"))
-    nameless = minhash.with_set(docs.where("doc_id is null"))
-    empty = nameless.where("set is null").select("row.*")
-    return union_all([once, more, _one_row(nameless.where("set is not null").select("row.*", "set"), F.col("set")).select(*docs.columns), empty])
-
-
-def _one_row(rows: DataFrame, key: Column) -> DataFrame:
-    """Of the rows of each key one that has words, if any does: the first by a hash of the row, then by the row."""
-    wordless = ~F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
-    first = F.min(F.struct(wordless.alias("wordless"), F.xxhash64(*rows.columns).alias("hash"), F.struct(*rows.columns).alias("row")))
-    return rows.groupBy(key.alias("key")).agg(first.alias("first")).select("first.row.*")
+    return minhash.representatives(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
