@@ -19,19 +19,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.hashing import mix, runs, span_hashes, spans
 from orderlens.llm.scoring import descend, lists, sample, sigmoid, sparse
+from orderlens.session import materialize
 
 PASSAGE = 32
 BUCKETS = 1 << 22
 MIN_DOCS = 6
 PREFIXES = (4, 5, 6)
-#: Labelled documents of each class the fit uses at most, and passages of each; scoring reads everything.
+#: Labelled documents of each class the fit uses at most, and bytes of their texts; scoring reads everything.
 SAMPLE = 1500
-PASSAGES = 64
+SAMPLE_BYTES = 1 << 24
 STEPS, RATE, DECAY, PENALTY = 70, 0.1, 5e-4, 1.0
 CUT = 0.7
 
@@ -198,16 +199,28 @@ def fit_passages(docs: np.ndarray, labels: np.ndarray, features: list[np.ndarray
     return Model(weights, float(at[-1]), float(scale), float(shift))
 
 
+def _sampled(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int) -> DataFrame:
+    """(doc_id, label, text) of the labelled rows to fit on, whole texts, landed as two jobs read them."""
+    chosen = sample(labels, label, most, F.col(label) == 1).unionByName(sample(labels, label, most, F.col(label) == 0))
+    chosen = F.broadcast(chosen.groupBy("doc_id").agg(F.max("label").alias("label")))
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = materialize(plain.where("text is not null").join(chosen, "doc_id").select("doc_id", "label", "text"), "labelled")
+    sizes = rows.groupBy("doc_id", "label").agg(F.sum(F.octet_length("text")).alias("size")).where(F.col("size") <= most_bytes // 16)
+    total = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id"))
+    fitting = sizes.withColumn("total", total).where(F.col("total") <= most_bytes).select("doc_id")
+    return rows.join(F.broadcast(fitting), "doc_id")
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", identities: tuple[tuple[str, ...], ...] = IDENTITIES,
-    most: int = SAMPLE,
+    most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """Fit on at most ``most`` labelled documents of each class, up to PASSAGES passages of each.
+    """Fit on every passage of at most ``most`` labelled documents of each class, chosen by a hash of doc_id.
 
-    Those bounds make collecting their features safe. Labels of other values than 0 and 1 are ignored.
+    Of those, documents of more than a sixteenth of ``most_bytes`` are not taken, nor those after the first
+    ``most_bytes`` of text of a class; what is taken is read whole. Those bounds make collecting the features
+    safe. Labels of other values than 0 and 1 are ignored.
     """
-    chosen = sample(labels, label, most, F.col(label) == 1).unionByName(sample(labels, label, most, F.col(label) == 0))
-    chosen = F.broadcast(chosen.groupBy("doc_id").agg(F.max("label").alias("label")))
     swaps = Swaps(identities)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +229,7 @@ def fit(
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
             for first, end, words, features, starts, by_row in _passages(batch.column("text")):
                 for k in range(end - first):
-                    own = range(by_row[k], by_row[k + 1])
-                    if len(own) > PASSAGES:  # a sample of the places, the same for every run
-                        own = sorted(own, key=lambda p: int(mix(np.array([p - by_row[k]], np.uint64))[0]))[:PASSAGES]
-                    for p in own:
+                    for p in range(by_row[k], by_row[k + 1]):
                         until = min(starts[p] + PASSAGE, starts[p + 1] if p + 1 < len(starts) else len(words))
                         own_words, part = words[starts[p] : until], features[starts[p] : until]
                         fresh = _first_uses(own_words, np.zeros(1, np.int64))
@@ -230,8 +240,7 @@ def fit(
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "label", "place", "at", "swapped"])
 
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = plain.where("text is not null").join(chosen, "doc_id").select("doc_id", "label", "text")
+    marked = _sampled(docs, labels, label, most, most_bytes).select("doc_id", "label", "text")
     rows = marked.mapInArrow(featurise, "doc_id bigint, label int, place bigint, at array<int>, swapped array<int>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("place", "ascending")])
     ids, docs_of = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)

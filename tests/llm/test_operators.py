@@ -567,6 +567,20 @@ def test_toxicity_holds_on_unseen_documents_and_spares_group_names(spark):
     assert fitted.scores(named)[0] < 0.7
 
 
+def test_toxicity_learns_from_late_passages_of_long_documents(spark):
+    """Every passage of a labelled document is fitted on: the marked word stands in its last one only."""
+    rng = np.random.default_rng(12)
+    rows = [(k, " ".join([*rng.choice(WORDS, 4000), "vile" if k % 2 else "mild"]), k % 2) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    bad, good = model.scores(pa.array(["so vile", "so mild"]))
+    assert bad > 0.7 > good
+    size = len(rows[0][1])
+    few = toxicity._sampled(docs, docs.select("doc_id", "toxic"), "toxic", 60, 20 * size).collect()
+    assert 0 < len(few) < 60 and {r["text"] for r in few} <= {t for _, t, _ in rows}
+    assert toxicity._sampled(docs, docs.select("doc_id", "toxic"), "toxic", 60, 10 * size).count() == 0
+
+
 def test_toxicity_of_odd_rows(spark, none):
     docs, labels = _insults(spark, 60)
     model = toxicity.fit(docs, labels)
