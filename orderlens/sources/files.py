@@ -60,10 +60,10 @@ def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", mult
     ])
 
 
-def read_sheets(spark: SparkSession, root: str, fmt: str = "csv", typed: bool = True) -> dict[str, DataFrame]:
-    """All eight sheets from ``root/<name>`` (``root/<name>.csv`` for CSV files)."""
+def read_sheets(spark: SparkSession, root: str, fmt: str = "csv", typed: bool = True, multi_line: bool = True) -> dict[str, DataFrame]:
+    """All eight sheets from ``root/<name>`` (``root/<name>.csv`` for CSV files), read as by ``read_sheet``."""
     suffix = ".csv" if fmt == "csv" else ""
-    return {name: read_sheet(spark, f"{root}/{name}{suffix}", name, fmt, typed=typed) for name in SHEETS}
+    return {name: read_sheet(spark, f"{root}/{name}{suffix}", name, fmt, multi_line, typed) for name in SHEETS}
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:

@@ -178,3 +178,19 @@ def test_suppliers_of_an_order_keep_their_own_deliveries(spark, tmp_path):
     spark.createDataFrame(rows, line).write.parquet(str(tmp_path / "lineitem.parquet"))
     likp = Bridge(spark, str(tmp_path)).likp(with_order=False)
     assert sorted(r["Delivery Number"] for r in likp.collect()) == [70000, 70001]
+
+
+def test_sheets_without_line_breaks_are_split_on_request(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "SHEETS", {"LFA1": files.SHEETS["LFA1"]})
+    names = [c.header for c in files.SHEETS["LFA1"].columns]
+    lines = [",".join(names)] + [",".join([str(k)] + ["x"] * (len(names) - 1)) for k in range(5000)]
+    (tmp_path / "LFA1.csv").write_text("\n".join(lines) + "\n")
+    whole = files.read_sheets(spark, str(tmp_path), typed=False)["LFA1"]
+    split = files.read_sheets(spark, str(tmp_path), typed=False, multi_line=False)["LFA1"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        tasks = lambda df: df.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert tasks(whole) == 1 < tasks(split)
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
