@@ -14,14 +14,14 @@ _ROW_BITS = 33
 def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) -> DataFrame:
     """Add ``name`` = after+1..after+n in the order of ``order_by``.
 
-    The rows are written first, since finding the ranges would otherwise compute them twice.
     They are range-partitioned and sorted, so any run of rows, a hot leading key
-    included, is spread as far as ``order_by`` tells its rows apart. The sorted rows
-    are written to the shared folder too: partition sizes and row positions must come
-    from one evaluation. The offsets table has one row per partition, which bounds both
-    its window and its broadcast.
+    included, is spread as far as ``order_by`` tells its rows apart. Finding the ranges
+    runs the last stage of ``df`` once more, on shuffled rows that are there by then.
+    The sorted rows are written to the shared folder, once: partition sizes and row
+    positions must come from one evaluation. The offsets table has one row per partition,
+    which bounds both its window and its broadcast.
     """
-    ordered = materialize(df, "unsorted").repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     placed = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_at", _ROW_BITS)
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

@@ -13,7 +13,7 @@ from orderlens.operators.conform import to_mart
 from orderlens.operators.joins import fanout_left_join, guard_unique
 from orderlens.session import run_together
 from orderlens.sources.files import write_csv
-from orderlens.sources.tables import session_of
+from orderlens.sources.tables import WrittenTables, write_tables
 
 ITEM_KEY = ["order_id", "item_number"]
 # Order of the rows in CSV output.
@@ -259,33 +259,23 @@ class Marts:
         }
 
 
-def write_marts(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_marts(sheets: Mapping[str, DataFrame], root: str) -> WrittenTables:
     """Build and write the six tables as Parquet; returns the written tables.
 
     The written order items serve as the order lines of the later tables.
     """
-    spark = session_of(sheets)
     marts = Marts(sheets)
-
-    def save(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        def write(name: str, df: DataFrame) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-            return spark.read.schema(df.schema).parquet(f"{root}/{name}")
-
-        written = run_together([lambda n=n, df=df: write(n, df) for n, df in tables.items()])
-        return dict(zip(tables, written))
-
-    first = save({
+    first = write_tables({
         "order_items": marts.order_items,
         "delivery_items": marts.delivery_items,
         "shipment_items": marts.shipment_items,
         "order_summary": marts.order_summary,
-    })
+    }, root)
     lines, delivered, shipped = first["order_items"], marts.conformed("LIPS"), marts.conformed("VTTP")
-    return first | save({
+    return first | write_tables({
         "item_delivery_performance": item_delivery_performance(lines, delivered),
         "delivery_analytics": delivery_analytics(lines, delivered, shipped),
-    })
+    }, root)
 
 
 def export_marts(written: Mapping[str, DataFrame], root: str) -> None:

@@ -14,7 +14,7 @@ from orderlens.operators.checks import stack_rows
 from orderlens.operators.conform import trim_headers
 from orderlens.schema import SHEETS
 from orderlens.session import run_together
-from orderlens.sources.tables import session_of
+from orderlens.sources.tables import WrittenTables, session_of, write_tables
 
 log = logging.getLogger(__name__)
 
@@ -26,27 +26,45 @@ EXPORT_ROWS_PER_FILE = 5_000_000
 QUOTING = {"quote": '"', "escape": '"'}
 
 
-def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
+def guard_line_breaks(df: DataFrame, path: str) -> DataFrame:
+    """``df``, read line by line from CSV files, failing at run time if a value goes on over a line break.
+
+    The line on which such a value begins has an odd number of quotes, and so has one with a stray quote. The check
+    rides along as a union branch that yields no row or raises, so that no projection or filter leaves it out;
+    it reads lines without parsing them, in splits like the read itself.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTING["quote"])))
+    error = F.raise_error(F.concat(
+        F.lit("a quoted value holds a line break, or a quote has no partner, in "), F.col("file"),
+        F.lit("; read such files with multi_line=True. The line begins: "), F.substring("value", 1, 200),
+    ))
+    lines = df.sparkSession.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    empty = lines.where(quotes % 2 == 1).where(error.cast("boolean"))
+    return df.unionByName(empty.select(*[error.cast(f.dataType).alias(f.name) for f in df.schema]))
+
+
+def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool = False) -> DataFrame:
     reader = spark.read
     if fmt == "csv":
         reader = reader.options(header=True, multiLine=multi_line, **QUOTING)
     try:
-        return trim_headers(reader.format(fmt).load(path))
+        df = trim_headers(reader.format(fmt).load(path))
+        return guard_line_breaks(df, path) if fmt == "csv" and not multi_line else df
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"source not found: {path}") from error
         raise
 
 
-def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", multi_line: bool = True,
+def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", multi_line: bool = False,
                typed: bool = True) -> DataFrame:
     """One source sheet with declared types, matched by trimmed header name.
 
     Text files are read as text, so that codes such as a postal ``00100`` or a country
     ``NA`` survive; dates stay text for the parse check. A number that does not fit its
     declared type fails the query; ``typed=False`` leaves all columns of a text file as text, for
-    ``quality.type_violations`` to count such values first. Values may hold line breaks; ``multi_line=False`` says that
-    none does, which lets Spark split large CSV files.
+    ``quality.type_violations`` to count such values first. Spark splits large CSV files; one with a line break in a
+    quoted value fails the query, and is read with ``multi_line=True``, one task a file.
     """
     df = _read(spark, path, fmt, multi_line)
     missing = [h for h in SHEETS[name].headers if h not in df.columns]
@@ -60,36 +78,31 @@ def read_sheet(spark: SparkSession, path: str, name: str, fmt: str = "csv", mult
     ])
 
 
-def read_sheets(spark: SparkSession, root: str, fmt: str = "csv", typed: bool = True, multi_line: bool = True) -> dict[str, DataFrame]:
+def read_sheets(spark: SparkSession, root: str, fmt: str = "csv", typed: bool = True, multi_line: bool = False) -> dict[str, DataFrame]:
     """All eight sheets from ``root/<name>`` (``root/<name>.csv`` for CSV files), read as by ``read_sheet``."""
     suffix = ".csv" if fmt == "csv" else ""
     return {name: read_sheet(spark, f"{root}/{name}{suffix}", name, fmt, multi_line, typed) for name in SHEETS}
 
 
-def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+def read_optional(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame | None:
     """A table that may not have been produced yet; absent means a warning, not an error."""
     try:
-        return _read(spark, path, fmt)
+        return _read(spark, path, fmt, multi_line)
     except FileNotFoundError:
         log.warning("%s not found, its target stays empty", path)
         return None
 
 
-def land(sheets: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def land(sheets: Mapping[str, DataFrame], root: str) -> WrittenTables:
     """Write every sheet to ``root/<name>`` as Parquet and return the landed tables."""
-    spark = session_of(sheets)
-
-    def write(name: str, df: DataFrame) -> DataFrame:
-        clean = trim_headers(df)
-        clean.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(clean.schema).parquet(f"{root}/{name}")
-
-    landed = run_together([lambda n=n, df=df: write(n, df) for n, df in sheets.items()])
-    return dict(zip(sheets, landed))
+    return write_tables({name: trim_headers(df) for name, df in sheets.items()}, root)
 
 
 def shape(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns per table."""
+    """Rows and columns per table; tables that were written by this library are not read for it."""
+    if isinstance(tables, WrittenTables):
+        rows = [(name, tables.row_counts[name], len(df.columns)) for name, df in tables.items()]
+        return session_of(tables).createDataFrame(rows, "table string, row_count bigint, column_count int")
     return stack_rows([
         df.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table"), "row_count", F.lit(len(df.columns)).alias("column_count")
@@ -116,9 +129,9 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n", order_by: Sequence
     )
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """What ``write_csv`` wrote, all columns as text."""
-    return _read(spark, path, "csv")
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """What ``write_csv`` wrote, all columns as text; ``multi_line`` as in ``read_sheet``."""
+    return _read(spark, path, "csv", multi_line)
 
 
 def null_counts(df: DataFrame, name: str) -> DataFrame:

@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
+from orderlens.operators import numbering
 from orderlens.operators.numbering import dense_ids
+from orderlens.session import materialize
 
 
 def test_ids_follow_the_order_without_gaps(spark):
@@ -21,6 +23,15 @@ def test_a_hot_leading_key_is_spread(spark):
     assert out.where(F.col("n") != F.col("b") + 1).count() == 0
 
 
+def test_the_rows_are_written_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(numbering, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    joined = spark.range(5_000).join(spark.range(0, 5_000, 3).withColumnRenamed("id", "b"), F.col("id") == F.col("b"))
+    out = dense_ids(joined, ["id"], "n").orderBy("n").collect()
+    assert written == ["ids"]
+    assert [(r["n"], r["id"]) for r in out] == [(k + 1, 3 * k) for k in range(1667)]
+
+
 def test_ids_count_on_and_nulls_come_first(spark):
     rows = spark.createDataFrame([(2,), (None,), (1,)], "a int")
     out = dense_ids(rows, ["a"], "n", after=100)

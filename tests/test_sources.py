@@ -165,7 +165,7 @@ def test_a_rejected_load_leaves_the_tables(spark, sheets):
 def test_csv_quotes_commas_and_line_breaks_round_trip(spark, sheets, tmp_path):
     rows = sheets["LFA1"].limit(2).withColumn("Vendor Name", F.lit('Acme "Best", Inc')).withColumn("City", F.lit("a\nb"))
     files.write_csv(rows, str(tmp_path / "LFA1.csv"))
-    back = files.read_sheet(spark, str(tmp_path / "LFA1.csv"), "LFA1")
+    back = files.read_sheet(spark, str(tmp_path / "LFA1.csv"), "LFA1", multi_line=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.select(*back.columns).collect()))
     text = "".join(p.read_text() for p in (tmp_path / "LFA1.csv").glob("part-*"))
     assert '"Acme ""Best"", Inc"' in text
@@ -180,13 +180,39 @@ def test_suppliers_of_an_order_keep_their_own_deliveries(spark, tmp_path):
     assert sorted(r["Delivery Number"] for r in likp.collect()) == [70000, 70001]
 
 
-def test_sheets_without_line_breaks_are_split_on_request(spark, tmp_path, monkeypatch):
+def test_a_quoted_line_break_fails_and_names_the_option(spark, sheets, tmp_path):
+    rows = sheets["LFA1"].limit(3).withColumn("City", F.lit('a "b"\nc'))
+    files.write_csv(rows, str(tmp_path / "broken"))
+    for use in (lambda df: df.count(), lambda df: df.select("Country").where("Country IS NULL").collect()):
+        with pytest.raises(PySparkException, match="multi_line=True"):
+            use(files.read_csv(spark, str(tmp_path / "broken")))
+    assert files.read_csv(spark, str(tmp_path / "broken"), multi_line=True).where("City = 'a \"b\"\nc'").count() == 3
+
+
+def test_quotes_within_a_line_pass(spark, sheets, tmp_path):
+    rows = sheets["LFA1"].limit(3).withColumn("City", F.lit('"a", ""b""'))
+    files.write_csv(rows, str(tmp_path / "plain"), "\r\n")
+    assert files.read_csv(spark, str(tmp_path / "plain")).where("City = '\"a\", \"\"b\"\"'").count() == 3
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    """Also of empty tables and of jobs with several stages; the files are not read for it."""
+    made = {"none": spark.range(0), "some": spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count()}
+    written = files.land(made, str(tmp_path / "landed"))
+    assert written.row_counts == {"none": 0, "some": 10}
+    assert {n: df.count() for n, df in written.items()} == written.row_counts
+    for part in (tmp_path / "landed" / "some").glob("part-*"):
+        part.unlink()
+    assert sorted(map(tuple, files.shape(written).collect())) == [("none", 0, 1), ("some", 10, 2)]
+
+
+def test_sheets_are_split(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "SHEETS", {"LFA1": files.SHEETS["LFA1"]})
     names = [c.header for c in files.SHEETS["LFA1"].columns]
     lines = [",".join(names)] + [",".join([str(k)] + ["x"] * (len(names) - 1)) for k in range(5000)]
     (tmp_path / "LFA1.csv").write_text("\n".join(lines) + "\n")
-    whole = files.read_sheets(spark, str(tmp_path), typed=False)["LFA1"]
-    split = files.read_sheets(spark, str(tmp_path), typed=False, multi_line=False)["LFA1"]
+    whole = files.read_sheets(spark, str(tmp_path), typed=False, multi_line=True)["LFA1"]
+    split = files.read_sheets(spark, str(tmp_path), typed=False)["LFA1"]
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         tasks = lambda df: df.select(F.spark_partition_id().alias("task")).distinct().count()
