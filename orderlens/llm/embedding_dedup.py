@@ -2,10 +2,13 @@
 
 Vectors are scaled to length 1 and rotated onto principal axes, the leading first. Two of cosine
 THRESHOLD are at most REACH apart, so along every axis too: a grid of that width over the first axes
-says which cells can hold pairs, and cells are cut into tiles of about TILE rows. A pair of tiles is
+says which cells can hold pairs, and cells are cut into tiles of about TILE rows. A task takes one tile
+and up to PARTNERS of the tiles near it. Rows of a tile are sorted along the leading axis, so a stripe of
+them meets only the rows within REACH there, and of a tile with itself only later ones. A stripe is
 compared a few dimensions at a time. What the later dimensions can add is at most the product of the
-two suffix norms; pairs whose sum so far cannot reach the threshold are dropped, and a stripe without
-pairs left stops. Survivors are confirmed by their cosine in double precision.
+two suffix norms; pairs whose sum so far cannot reach the threshold are dropped, rows and columns without
+pairs go, and once few pairs are left, those alone are gone on with. A stripe without pairs stops.
+Survivors are confirmed by their cosine in double precision.
 
 Equal vectors are collapsed before and counted after. A tile pair returns, per vector, how many it is
 linked to and one spanning link, never the pairs, so a group of any size costs rows in proportion.
@@ -18,7 +21,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import components
@@ -28,14 +31,21 @@ from orderlens.session import materialize
 THRESHOLD = 0.95
 #: Distance of unit vectors at the threshold, and a little more for rounding.
 REACH = float(np.sqrt(2 - 2 * THRESHOLD)) + 1e-6
-#: Axes of the grid; rows of a tile; rows compared at a time; dimensions after which pairs are dropped.
+#: Axes of the grid; rows of a tile of up to WIDTH dimensions, fewer beyond; partners of a tile in one task.
 AXES = 3
 TILE = 4096
+WIDTH = 64
+PARTNERS = 8
+#: Rows compared at a time; dimensions after which pairs are first dropped, then after twice as many, and so on.
 STRIPE = 256
-STEPS = (8, 16, 32)
+STEP = 8
+#: One pair in so many is left: pairs go on alone, and so many components of theirs at a time.
+SPARSE = 16
+_CELLS = 1 << 20
 #: Vectors the axes are fitted on, a bound; they only decide how early a comparison stops.
 SAMPLE = 4096
 _SLACK = 1e-9
+_HALF = 1 << 20
 
 
 def axes(vectors: np.ndarray) -> np.ndarray:
@@ -55,60 +65,93 @@ def _suffixes(rotated: np.ndarray, steps: list[int]) -> list[np.ndarray]:
     return [np.sqrt((rotated[:, s:] ** 2).sum(axis=1)) for s in steps]
 
 
-def stripes(a: np.ndarray, b: np.ndarray, turn: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, links of STRIPE rows of unit vectors ``a`` with ``b``) for stripes that have any."""
-    dim = a.shape[1]
-    steps = [s for s in STEPS if s < dim] + [dim]
-    ra, rb = a @ turn, b @ turn
+def _steps(dim: int) -> list[int]:
+    return [STEP << k for k in range(dim.bit_length()) if STEP << k < dim] + [dim]
+
+
+def stripes(a: np.ndarray, b: np.ndarray | None, turn: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(rows, columns, multiplications) of the links of STRIPE rows of unit vectors ``a`` with ``b``.
+
+    Without ``b`` the links of ``a`` with itself, each once.
+    """
+    alone, steps = b is None, _steps(a.shape[1])
+    ra = a @ turn
+    order_a = np.argsort(ra[:, 0], kind="stable")
+    ra = ra[order_a]
+    if alone:
+        b, rb, order_b = a, ra, order_a
+    else:
+        rb = b @ turn
+        order_b = np.argsort(rb[:, 0], kind="stable")
+        rb = rb[order_b]
     tails_a, tails_b = _suffixes(ra, steps), _suffixes(rb, steps)
     for first in range(0, len(a), STRIPE):
-        own = slice(first, first + STRIPE)
-        sums, at, alive = 0.0, 0, None
-        for k, step in enumerate(steps):
-            sums = sums + ra[own, at:step] @ rb[:, at:step].T
+        rows = np.arange(first, min(first + STRIPE, len(a)))
+        lo = np.searchsorted(rb[:, 0], ra[rows[0], 0] - REACH, "left")
+        hi = np.searchsorted(rb[:, 0], ra[rows[-1], 0] + REACH, "right")
+        columns = np.arange(max(lo, first) if alone else lo, hi)
+        alive = np.less.outer(rows, columns) if alone else np.ones((len(rows), len(columns)), bool)
+        sums, at, spent, left = np.zeros(alive.shape), 0, 0, list(enumerate(steps))
+        while left and alive.sum() * SPARSE > alive.size:
+            k, step = left.pop(0)
+            kept = np.ix_(alive.any(axis=1), alive.any(axis=0))
+            rows, columns, sums, alive = rows[kept[0][:, 0]], columns[kept[1][0]], sums[kept], alive[kept]
+            sums = sums + ra[rows, at:step] @ rb[columns, at:step].T
+            spent += sums.size * (step - at)
+            alive &= sums + np.outer(tails_a[k][rows], tails_b[k][columns]) >= THRESHOLD - _SLACK
             at = step
-            alive = sums + np.outer(tails_a[k][own], tails_b[k]) >= THRESHOLD - _SLACK
-            if not alive.any():
-                break
-        else:
-            links = sums >= THRESHOLD
-            for i, j in zip(*np.nonzero(np.abs(sums - THRESHOLD) <= _SLACK)):  # rounding of the rotation decides nothing
-                links[i, j] = float(a[first + i] @ b[j]) >= THRESHOLD
-            if links.any():
-                yield first, links
-
-
-def compare(a: np.ndarray, b: np.ndarray | None, ca: np.ndarray, cb: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(linked copies, a local root) per row of ``a`` and then of ``b`` (None: ``a`` with itself)."""
-    alone = b is None
-    n = len(a)
-    shift = 0 if alone else n
-    total = n if alone else n + len(b)
+        x, y = np.nonzero(alive)
+        i, j, sums = rows[x], columns[y], sums[x, y]
+        for k, step in left:
+            many = max(1, _CELLS // (step - at))
+            for lo in range(0, len(i), many):
+                own = slice(lo, lo + many)
+                sums[own] += np.einsum("pd,pd->p", ra[i[own], at:step], rb[j[own], at:step])
+            spent += len(i) * (step - at)
+            near = sums + tails_a[k][i] * tails_b[k][j] >= THRESHOLD - _SLACK
+            i, j, sums, at = i[near], j[near], sums[near], step
+        linked = sums >= THRESHOLD
+        for p in np.flatnonzero(np.abs(sums - THRESHOLD) <= _SLACK):  # rounding of the rotation decides nothing
+            linked[p] = float(a[order_a[i[p]]] @ b[order_b[j[p]]]) >= THRESHOLD
+        yield order_a[i[linked]], order_b[j[linked]], spent
+
+
+def compare(
+    a: np.ndarray, b: np.ndarray | None, ca: np.ndarray, cb: np.ndarray | None, turn: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """(linked copies, a local root) per row of ``a`` and then of ``b`` (None: ``a`` with itself), and the multiplications."""
+    alone, n = b is None, len(a)
+    if alone:
+        cb = ca
+    shift, total, spent = (0, n, 0) if alone else (n, n + len(b), 0)
     counts, label = np.zeros(total, np.int64), np.arange(total)
-    for first, links in stripes(a, a if alone else b, turn):
-        rows = np.arange(first, first + len(links))
-        if alone:
-            links[np.arange(len(rows)), rows] = False
-        counts[rows] += links @ (ca if alone else cb)
-        if not alone:
-            counts[n:] += ca[rows] @ links
-        for i in np.flatnonzero(links.any(axis=1)):
-            met = label[np.append(np.flatnonzero(links[i]) + shift, rows[i])]
+    for i, j, work in stripes(a, b, turn):
+        spent += work
+        np.add.at(counts, i, cb[j])
+        np.add.at(counts, j + shift, ca[i])
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        starts = np.flatnonzero(np.diff(i, prepend=-1))
+        for row, others in zip(i[starts], np.split(j + shift, starts[1:])):
+            met = label[np.append(others, row)]
             root = met.min()
-            others = np.unique(met[met != root])
-            if len(others):
-                label[np.isin(label, others)] = root
-    return counts, label
+            apart = np.unique(met[met != root])
+            if len(apart):
+                label[np.isin(label, apart)] = root
+    return counts, label, spent
 
 
 def _tile_pairs(held: DataFrame) -> DataFrame:
-    """(tile, other) once for every two tiles whose cells touch; rows are tiles, not vectors."""
+    """(tile, other, part) once for every two tiles whose cells touch, a tile and itself included: ``part`` holds
+    PARTNERS of a tile at most. Rows are tiles, not vectors."""
     near = F.explode(F.array(*[F.array(*[F.lit(x) for x in step]) for step in product((-1, 0, 1), repeat=AXES)]))
     cells = held.select("tile", "dim", "cell")
     wanted = cells.select("tile", "dim", near.alias("step")).join(cells.select("tile", "cell"), "tile")
     wanted = wanted.select("tile", "dim", F.zip_with("cell", "step", lambda x, y: x + y).alias("cell"))
     others = cells.select(F.col("tile").alias("other"), "dim", "cell")
-    return wanted.join(others, ["dim", "cell"]).where("tile <= other").select("tile", "other")
+    pairs = wanted.join(others, ["dim", "cell"]).where("tile <= other").select("tile", "other")
+    place = F.row_number().over(Window.partitionBy("tile").orderBy("other"))  # a tile is the first of its own partners
+    return pairs.withColumn("part", F.floor((place - 1) / PARTNERS))
 
 
 def _placed(rows: DataFrame, turns: dict[int, np.ndarray]) -> DataFrame:
@@ -154,34 +197,42 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     turns = {dim: axes(unit(np.array(v, np.float64))) for dim, v in by_dim.items()}
 
     placed = materialize(_placed(distinct.select("id", "vector", "copies"), turns), "placed")
-    parts = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") / TILE).cast("bigint").alias("parts"))
+    rows_of_tile = F.lit(TILE * WIDTH) / F.greatest("dim", F.lit(WIDTH))
+    parts = placed.groupBy("dim", "cell").agg(F.count("*").alias("n")).select("dim", "cell", F.ceil(F.col("n") / rows_of_tile).alias("parts"))
     no = F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts"))
     named = placed.join(parts, ["dim", "cell"]).withColumn("tile", F.concat_ws("/", "dim", F.concat_ws(",", "cell"), no))
-    # The number of copies rides along as one more component.
-    packed = named.select("tile", "id", F.concat(F.col("vector").cast("array<double>"), F.array(F.col("copies").cast("double"))).alias("vector"))
-    whole = materialize(tiles(packed, "tile", "<f8"), "tiles")
-    whole = whole.withColumn("dim", F.col("dim") - 1).withColumn("cell", F.split(F.split("tile", "/")[1], ",").cast("array<int>"))
-    pairs = _tile_pairs(whole)
-    left = whole.select("tile", "dim", F.col("ids").alias("ids_a"), F.col("packed").alias("a"))
-    right = whole.select(F.col("tile").alias("other"), F.col("ids").alias("ids_b"), F.col("packed").alias("b"))
-    work = pairs.join(left, "tile").join(right, "other").repartition("tile", "other")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    # The number of copies rides along as two more components, which even small floats hold exactly.
+    copies = [F.floor(F.col("copies") / _HALF), F.col("copies") % _HALF]
+    packed = named.select("tile", "id", F.concat("vector", F.array(*[c.cast(kind) for c in copies])).alias("vector"))
+    form = "<f4" if kind == "float" else "<f8"
+    whole = materialize(tiles(packed, "tile", form), "tiles")
+    whole = whole.withColumn("dim", F.col("dim") - 2).withColumn("cell", F.split(F.split("tile", "/")[1], ",").cast("array<int>"))
+    pairs = materialize(_tile_pairs(whole), "pairs")
+    one = pairs.select("tile", "part").distinct().join(whole.select("tile", "dim", "ids", "packed"), "tile")
+    others = pairs.where("tile != other").select(F.col("tile").alias("of"), F.col("part").alias("of_part"), "other")
+    others = others.join(whole.select(F.col("tile").alias("other"), F.col("ids").alias("ids_b"), F.col("packed").alias("b")), "other")
+
+    def run(tile: pa.Table, near: pa.Table) -> pa.Table:
+        (own,) = tile.to_pylist()
+        dim = own["dim"]
+        turn = turns.get(dim, np.eye(dim))
+
+        def held_in(ids: list[int], packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            rows = matrix(packed, dim + 2, form).astype(np.float64)
+            return np.array(ids, np.int64), unit(rows[:, :dim]), (rows[:, dim] * _HALF + rows[:, dim + 1]).astype(np.int64)
+
+        ids_a, a, ca = held_in(own["ids"], own["packed"])
+        met = [(ids_a, *compare(a, None, ca, None, turn))] if own["part"] == 0 else []
+        for batch in near.to_batches(max_chunksize=1):
             for row in batch.to_pylist():
-                dim, alone = row["dim"], row["tile"] == row["other"]
-                a, b = matrix(row["a"], dim + 1, "<f8"), matrix(row["b"], dim + 1, "<f8")
-                counts, label = compare(
-                    unit(a[:, :dim]), None if alone else unit(b[:, :dim]), a[:, dim].astype(np.int64), b[:, dim].astype(np.int64),
-                    turns.get(dim, np.eye(dim)),
-                )
-                ids = np.array(row["ids_a"] if alone else row["ids_a"] + row["ids_b"], np.int64)
-                own = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[own]), pa.array(counts[own]), pa.array(ids[label[own]])], ["id", "links", "root"]
-                )
-
-    found = materialize(work.mapInArrow(run, "id bigint, links bigint, root bigint"), "found")
+                ids_b, b, cb = held_in(row["ids_b"], row["b"])
+                met.append((np.concatenate([ids_a, ids_b]), *compare(a, b, ca, cb, turn)))
+        linked = [(ids[counts > 0], counts[counts > 0], ids[label[counts > 0]]) for ids, counts, label, _ in met]
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*linked)], ["id", "links", "root"])
+
+    by_part = one.groupBy("tile", "part").cogroup(others.groupBy("of", "of_part"))
+    compared = by_part.applyInArrow(run, "id bigint, links bigint, root bigint")
+    found = materialize(compared, "found")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "roots")
     least = joined.groupBy("root").agg(F.min("id").alias("component_id"))

@@ -354,8 +354,35 @@ def test_top_k_of_zero_negative_and_huge_weights():
         index.best(np.array([2**60, 0, 0]), 9, 5)
 
 
-def test_embedding_links_equal_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("dim", [2, 64, 100])
+def test_tiles_stop_early_and_lose_no_link(dim):
+    """Links and components are those of all pairs, for a fraction of the multiplications, also of a tile with itself."""
+    rng = np.random.default_rng(dim)
+    spread = 0.95 ** np.arange(dim) if dim > 2 else np.ones(dim)
+    centres = rng.normal(size=(150, dim)) * spread
+    rows = np.concatenate([centres + 0.08 * spread * rng.normal(size=centres.shape) for _ in range(8)])
+    vectors = embedding_dedup.unit(rows)
+    copies = rng.integers(1, 4, len(vectors))
+    turn = embedding_dedup.axes(vectors)
+    near = vectors @ vectors.T >= embedding_dedup.THRESHOLD
+    np.fill_diagonal(near, False)
+    counts, label, spent = embedding_dedup.compare(vectors, None, copies, None, turn)
+    assert counts.tolist() == (near @ copies).tolist()
+    expected = roots(range(len(vectors)), list(zip(*np.nonzero(near))))
+    assert label.tolist() == [expected[k] for k in range(len(vectors))]
+    half = len(vectors) // 3
+    counts, _, across = embedding_dedup.compare(vectors[:half], vectors[half:], copies[:half], copies[half:], turn)
+    cut = near.copy()
+    cut[:half, :half] = cut[half:, half:] = False
+    assert counts.tolist() == (cut @ copies).tolist()
+    if dim > 2:
+        assert spent < 0.25 * near.size * dim and across < 0.5 * half * (len(vectors) - half) * dim
+
+
+@pytest.mark.parametrize("partners", [2, 8])
+def test_embedding_links_equal_all_pairs(spark, monkeypatch, partners):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
+    monkeypatch.setattr(embedding_dedup, "PARTNERS", partners)
     rng = np.random.default_rng(4)
     hub = rng.normal(size=24)
     rows = [(k, (hub + 0.12 * rng.normal(size=24)).tolist()) for k in range(60)]
