@@ -554,6 +554,31 @@ def test_quality_orders_three_grades_of_unseen_documents(spark, none):
     assert quality.score(none, model).columns[-3:] == ["expected_grade", "good_probability", "selected"]
 
 
+def test_quality_slopes_are_those_of_the_likelihood(monkeypatch):
+    """Against finite differences of the cumulative-link loss, written out densely, for four grades."""
+    rng, size, cuts, kept = np.random.default_rng(8), 12, 3, []
+    monkeypatch.setattr(quality, "BUCKETS", size)
+    monkeypatch.setattr(quality, "descend", lambda start, slope, steps, rate: kept.append(slope) or start)
+    dense = rng.normal(size=(40, size)) * (rng.random((40, size)) < 0.4)
+    labels = np.arange(40) % 4
+    at = [np.flatnonzero(row) for row in dense]
+    quality.fit_rows(at, [row[k] for row, k in zip(dense, at)], labels)
+
+    def loss(x):
+        steps = np.concatenate([[x[size]], np.exp(x[size + 1:])])
+        edges = np.concatenate([[-np.inf], np.cumsum(steps), [np.inf]])
+        below = lambda edge, score: 1 / (1 + np.exp(-(edge - score)))
+        score = dense @ x[:size]
+        chance = below(edges[labels + 1], score) - below(edges[labels], score)
+        return -np.log(chance).mean() + quality.DECAY / 2 * (x[:size] ** 2).sum()
+
+    for _ in range(3):
+        x = rng.normal(size=size + cuts) * 0.5
+        small = 1e-6 * np.eye(size + cuts)
+        expected = [(loss(x + d) - loss(x - d)) / 2e-6 for d in small]
+        assert np.allclose(kept[0](x), expected, atol=1e-5)
+
+
 def test_quality_of_odd_rows_and_without_ratings(spark, none):
     docs, ratings = _graded(spark, 60)
     model = quality.fit(docs, ratings.unionByName(spark.createDataFrame([(None, 1), (3, None)], ratings.schema)))
