@@ -633,6 +633,33 @@ def test_toxicity_learns_from_late_passages_of_long_documents(spark):
     assert toxicity._sampled(docs, docs.select("doc_id", "toxic"), "toxic", 60, 10 * size).count() == 0
 
 
+def test_toxicity_slopes_are_those_of_the_penalised_likelihood(monkeypatch):
+    """Against finite differences of the loss, written out densely: the counterfactual gap is squared and averaged."""
+    rng, size, kept = np.random.default_rng(9), 10, []
+    monkeypatch.setattr(toxicity, "BUCKETS", size)
+    monkeypatch.setattr(toxicity, "MIN_DOCS", 1)
+    monkeypatch.setattr(toxicity, "descend", lambda start, slope, steps, rate: kept.append(slope) or start)
+    features = [rng.integers(0, size, 4) for _ in range(30)] + [np.arange(size)]
+    swapped = [np.where(f == f[0], (f[0] + 1) % size, f) if k % 3 == 0 else None for k, f in enumerate(features)]
+    labels = (np.arange(31) % 4 == 0).astype(np.int64)
+    toxicity.fit_passages(np.arange(31), labels, features, swapped)
+    counts = lambda rows: np.array([np.bincount(f, minlength=size) for f in rows])
+    dense, twins = counts(features), [k for k, f in enumerate(swapped) if f is not None]
+    other = counts([swapped[k] for k in twins])
+    share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
+
+    def loss(x):
+        p = 1 / (1 + np.exp(-(dense @ x[:-1] + x[-1])))
+        fit = -(share * np.where(labels == 1, np.log(p), np.log(1 - p))).sum()
+        gap = dense[twins] @ x[:-1] - other @ x[:-1]
+        return fit + toxicity.PENALTY * (gap**2).mean() + toxicity.DECAY / 2 * (x[:-1] ** 2).sum()
+
+    for _ in range(3):
+        x = rng.normal(size=size + 1) * 0.5
+        expected = [(loss(x + d) - loss(x - d)) / 2e-6 for d in 1e-6 * np.eye(size + 1)]
+        assert np.allclose(kept[0](x), expected, atol=1e-5)
+
+
 def test_toxicity_of_odd_rows(spark, none):
     docs, labels = _insults(spark, 60)
     model = toxicity.fit(docs, labels)
