@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderlens.functions import named
 from orderlens.operators import checks
@@ -63,10 +62,6 @@ class _Facts:
         return Marts(self.sheets).on_time_verdicts
 
 
-def _report_rows(df: DataFrame, label: str, count: str = "row_count") -> DataFrame:
-    return df.agg(F.count("*").alias(count)).select(F.lit(label).alias("table"), count)
-
-
 # -- sources ----------------------------------------------------------------
 @_query
 def source_shape(b: Bridge) -> DataFrame:

@@ -172,8 +172,8 @@ class Bridge:
     def _finished(self, *extra_keys: str) -> DataFrame:
         """Finished lines per (order, supplier[, line]).
 
-        Suppliers are numbered within their order after the lines are aggregated, so the window
-        sees an order's suppliers and never all its lines.
+        Suppliers are numbered within their order after the lines are aggregated: the window sees an
+        order's suppliers, or its (supplier, line) pairs where lines are among the keys.
         """
         lines = self.table("lineitem").where("l_linestatus = 'F'")
         keys = ["l_orderkey", F.col("l_suppkey").alias("point"), *extra_keys]
