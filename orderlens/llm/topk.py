@@ -32,6 +32,11 @@ LEVEL = 4
 TRIES = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 1.0)
 #: Times k: rows that may still be possible when scoring stops before everything is seen.
 POSSIBLE = 4
+#: Share of a shard's rows; where a try leaves more of them possible, the next one is passed over.
+HOPELESS = 0.1
+#: What a posting adds to its row besides its impact, to be counted; and dimensions whose counts fit a double so.
+ONE = 2.0**40
+MOST_PACKED = 2**12
 
 
 class Index:
@@ -73,16 +78,26 @@ class Index:
         done = np.cumsum(sizes)
         steps = np.unique(np.searchsorted(done, np.array(TRIES) * done[-1]) + 1).clip(max=len(turn)) if len(turn) else [0]
         slack = float(np.abs(impact).max(initial=0)) * dim * dim * 2.0**-52  # what rounding may take off a bound
-        seen, count, reached = np.zeros(n), np.zeros(n, np.int64), np.zeros(dim, np.int64)
-        at = 0
+        # A row's seen impacts and how many they are add up in one number: impacts are whole, and so is ONE more for each.
+        # Where their sum might reach half of it, both are added on their own.
+        packed = dim < MOST_PACKED and float(np.abs(weight).max(initial=0)) * self.largest * dim < ONE / 2
+        one = ONE if packed else 0.0
+        both, count, reached = np.zeros(n), np.zeros(n), np.zeros(dim, np.int64)
+        at, passed = 0, False
         for step in steps:
+            if passed and step < len(turn):
+                passed = False
+                continue
             until = reached + np.bincount(dims[at:step], sizes[at:step], dim).astype(np.int64)
-            parts = [self._postings(d, query[d], reached[d], until[d]) for d in np.flatnonzero(until > reached)]
-            if parts:
-                rows = np.concatenate([r for r, _ in parts])
-                seen += np.bincount(rows, np.concatenate([i for _, i in parts]), n)
-                count += np.bincount(rows, minlength=n)
+            for d in np.flatnonzero(until > reached):
+                rows, impacts = self._postings(d, query[d], reached[d], until[d])
+                np.add.at(both, rows, impacts + one)
+                if not packed:
+                    np.add.at(count, rows, 1.0)
                 self.read += len(rows)
+            if packed:
+                count = np.rint(both / ONE)
+            seen = both - count * one
             at, reached = step, until
             bound = seen + slack
             if step < len(turn):
@@ -96,6 +111,7 @@ class Index:
             possible = np.flatnonzero(bound >= least)
             if step == len(turn) or len(possible) <= POSSIBLE * k:
                 break
+            passed = len(possible) > n * HOPELESS
         possible = possible[self.ids[possible] != own]
         self.rescored += len(possible)
         scores = self.vectors[possible] @ query

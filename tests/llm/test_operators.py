@@ -703,3 +703,26 @@ def test_a_crowd_that_is_far_apart_forms_few_pairs(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "_across", counted)
     got = line_dedup.line_classes(docs).collect()
     assert len(got) == 1000 and len(formed) == 1 and formed[0] < 5000
+
+
+def test_top_k_packs_counts_only_where_impacts_leave_room_for_them():
+    """Rows seen are counted in the sums of their impacts; impacts too large for that are added apart, to the same rows."""
+    rng = np.random.default_rng(4)
+    for largest in (50, 2**22):
+        vectors = rng.integers(-largest, largest, (700, 12))
+        index, ids = topk.Index(np.arange(700), vectors), np.arange(700)
+        for q in range(15):
+            found, scores = index.best(vectors[q], q, 5)
+            every = vectors @ vectors[q]
+            assert list(zip(-scores, found)) == sorted((-every[r], r) for r in ids if r != q)[:5]
+
+
+def test_top_k_passes_over_tries_that_have_no_hope(monkeypatch):
+    """Rows without structure: the proof is not tried after every step, and reads few postings more for that."""
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-99, 99, (4000, 32))
+    index, tries, partition = topk.Index(np.arange(4000), vectors), [], np.argpartition
+    monkeypatch.setattr(np, "argpartition", lambda *args: tries.append(1) or partition(*args))
+    for q in range(10):
+        index.best(vectors[q], q, 5)
+    assert len(tries) <= 10 * 9 and index.read <= 10 * vectors.size
