@@ -13,7 +13,7 @@ from orderlens.operators.checks import stack_rows
 from orderlens.plans import feeders, kpis, quality, staging, warehouse
 from orderlens.plans.marts import Marts, preview, write_marts
 from orderlens.schema import REFERENCE_RULES, SHEETS
-from orderlens.session import materialize, tune, work_path
+from orderlens.session import bounded_tasks, materialize, tune, work_path
 from orderlens.sources import files
 from orderlens.sources.bridge import Bridge
 
@@ -38,7 +38,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _query(build: Callable[[Bridge], DataFrame], name: str | None = None) -> Callable[[Bridge], DataFrame]:
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return comparable(build(Bridge(tune(spark), root)))
+        # All other tables are smaller than the order lines.
+        bounded_tasks(tune(spark), files.size(spark, f"{root}/lineitem.parquet"))
+        return comparable(build(Bridge(spark, root)))
 
     _QUERIES[name or build.__name__] = run
     return build

@@ -29,6 +29,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# What a task of the relational queries holds is bounded by what it reads: sorts and hash tables keep a multiple
+# of it, as columns are compressed. So files are read and shuffles are dealt in parts of a bounded size, however
+# large the tables are.
+TASK_BYTES = 16 << 20
+
+
+def bounded_tasks(spark: SparkSession, table_bytes: int) -> SparkSession:
+    """Settings for tasks of about TASK_BYTES over tables of ``table_bytes``; smaller settings of the session stay.
+
+    Shuffles start with that many parts, and adaptive execution puts small ones together.
+    """
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        spark.conf.set(key, str(min(_bytes(spark.conf.get(key)), TASK_BYTES)))
+    wanted = -(-2 * table_bytes // TASK_BYTES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    return spark
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark's settings write it."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -171,6 +171,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(at)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of the files in a folder; 0 if there is none."""
+    fs, at = _folder(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if there is no such folder."""
     system, at = _folder(spark, path)

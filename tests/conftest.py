@@ -17,3 +17,14 @@ def spark():
 def sheets(spark):
     """The golden sheets, landed as Parquet."""
     return land(build(spark), work_path(spark, "golden"))
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Temporary views of one test are in no other's database listing."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for found in session.catalog.listTables():
+            if found.isTemporary:
+                session.catalog.dropTempView(found.name)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from orderlens import session
 from orderlens.plans import quality, warehouse
 from orderlens.schema import LOAD_ORDER, SHEETS, table_columns
 from orderlens.session import shared_dir, work_path
@@ -220,3 +221,27 @@ def test_sheets_are_split(spark, tmp_path, monkeypatch):
         assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tasks_are_bounded_by_size_not_by_number(spark, tmp_path):
+    """Larger tables get more parts, never larger ones; what the session has set smaller stays."""
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for own, then in (("64MB", 16 << 20), ("128m", 16 << 20), ("1g", 16 << 20), ("256k", 256 << 10), ("1000b", 1000)):
+            for k in keys:
+                spark.conf.set(k, own)
+            session.bounded_tasks(spark, 0)
+            assert [int(spark.conf.get(k)) for k in keys] == [then, then]
+        assert int(spark.conf.get(parts)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        session.bounded_tasks(spark, 10 * session.TASK_BYTES)
+        assert int(spark.conf.get(parts)) == 20
+        session.bounded_tasks(spark, 10_000 * session.TASK_BYTES)
+        assert int(spark.conf.get(parts)) == 20_000
+    finally:
+        spark.conf.unset(parts)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    spark.range(1000).write.parquet(f"{tmp_path}/t.parquet")
+    assert files.size(spark, f"{tmp_path}/t.parquet") > 1000 and files.size(spark, f"{tmp_path}/none") == 0
