@@ -100,14 +100,14 @@ def fact_delivery_analytics(b: Bridge) -> DataFrame:
 def load_warehouse(b: Bridge) -> DataFrame:
     # A database per call: the result stays this folder's, whatever is loaded later.
     database = f"orderlens_dw_{uuid.uuid4().hex}"
-    warehouse.load(b.sheets().landed(*_ITEMS), database)
+    warehouse.load(b.landed_sheets("VBAP"), database)
     return staging.published_rows(b.spark, database).select("table", "row_count")
 
 
 @_query
 def bi_export_shape(b: Bridge) -> DataFrame:
     root = work_path(b.spark, "bi")
-    tables = warehouse.tables(b.sheets().landed(*_ITEMS))
+    tables = warehouse.tables(b.landed_sheets("VBAP"))
     files.export_for_bi(tables, root)
     return files.shape({n: b.spark.read.option("header", True).csv(f"{root}/{n}") for n in tables})
 
@@ -169,7 +169,7 @@ def delivery_analytics(b: Bridge) -> DataFrame:
 
 @_query
 def transform_row_counts(b: Bridge) -> DataFrame:
-    written = write_marts(b.sheets().landed(*_ITEMS), work_path(b.spark, "marts"))
+    written = write_marts(b.landed_sheets("VBAP"), work_path(b.spark, "marts"))
     return files.shape(written).select("table", "row_count")
 
 
@@ -294,7 +294,7 @@ def dq_duplicate_keys(b: Bridge) -> DataFrame:
 
 @_query
 def dq_full_row_duplicates(b: Bridge) -> DataFrame:
-    return quality.full_row_duplicates(b.sheets().replace(VBAP=b.vbap_raw))
+    return quality.full_row_duplicates(b.landed_sheets().replace(VBAP=b.vbap_raw))
 
 
 @_query
@@ -381,12 +381,12 @@ def _unnumbered_tables(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 @_query
 def dw_fk_violations(b: Bridge) -> DataFrame:
-    return quality.foreign_key_violations(_unnumbered_tables(b.sheets().landed(*_LINE_SHEETS)))
+    return quality.foreign_key_violations(_unnumbered_tables(b.landed_sheets("VBAP")))
 
 
 @_query
 def dw_length_violations(b: Bridge) -> DataFrame:
     """Values as they come, with customer groups from a feed that mixes names and numbers."""
-    sheets = b.sheets().landed(*_LINE_SHEETS)
+    sheets = b.landed_sheets("VBAP")
     found = warehouse.untyped_tables(sheets.replace(KNA1=b.kna1_mixed_groups))
     return quality.type_violations(found | {"fact_delivery_analytics": Marts(sheets).delivery_analytics})

@@ -109,12 +109,13 @@ def run_together(jobs: Iterable[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
-    Unlike a cache this survives lost executors, and later readers prune columns.
+    Unlike a cache this survives lost executors, and later readers prune columns. Large tables are
+    smaller under the codec zstd.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.schema import SHEETS
+from orderlens.session import materialize, run_together
 from orderlens.sources.tables import LazyTables
 
 # A delivery's id is its order's times this plus the number of its supplier within the order.
@@ -67,6 +68,27 @@ class Bridge:
             VTTP=lambda: self.vttp(with_order=False),
         )
 
+    def landed_sheets(self, *names: str) -> LazyTables:
+        """All sheets, for jobs that read several of those made of finished lines, or one several times.
+
+        Finished lines are numbered and meet their order once, for all four; deliveries are made of them. Both are
+        written to the shared folder, as are the sheets ``names``, and the four sheets read the columns they need.
+        """
+        lines, *own = run_together([
+            lambda: materialize(self._with_order(self._finished("l_linenumber"), copies=True).drop("o_orderkey"), "finished", "zstd"),
+            *[lambda n=n: materialize(self.sheets()[n], n, "zstd") for n in names],
+        ])
+        deliveries = materialize(_deliveries(lines), "deliveries", "zstd")
+        customer = {"Customer ID": F.col("o_custkey")}
+        priority = {"Delivery Priority": F.col("o_orderpriority")}
+        return self.sheets().replace(
+            LIKP=lambda: _likp(deliveries, customer | priority),
+            LIPS=lambda: _lips(lines, customer),
+            VTTK=lambda: _vttk(deliveries, customer),
+            VTTP=lambda: _vttp(lines, customer),
+            **{n: lambda df=df: df for n, df in zip(names, own)},
+        )
+
     # -- masters ------------------------------------------------------------
     def _places(self) -> DataFrame:
         return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -144,8 +166,13 @@ class Bridge:
             F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority",
         )
 
-    def _with_order(self, df: DataFrame) -> DataFrame:
-        return df.join(self._order_fields(), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    def _with_order(self, df: DataFrame, copies: bool = False) -> DataFrame:
+        """``df`` with its order's fields; ``copies`` numbers the rows of an order that repeats, as ``copy``."""
+        orders = self._order_fields()
+        if copies:
+            of_order = Window.partitionBy("o_orderkey").orderBy("o_custkey", "o_orderpriority")
+            orders = orders.drop("o_orderdate").where("o_orderkey IS NOT NULL").withColumn("copy", F.row_number().over(of_order))
+        return df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
 
     def vbap(self, with_order: bool = True) -> DataFrame:
         """Order items. ``with_order=False`` skips the order lookup (no requested date)."""
@@ -203,59 +230,84 @@ class Bridge:
         lines, customer = self._finished_with_order(with_order)
         if with_order:
             customer["Delivery Priority"] = F.col("o_orderpriority")
-        return _fill(lines, "LIKP", customer | {
-            "Delivery Number": F.col("delivery"),
-            "Delivery Date": F.col("last_day"),
-            "Sales Document": F.col("l_orderkey"),
-            "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
-            "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
-            "Shipping Status": _decode(F.col("first_flag"), {"A": "Not Shipped"}, F.lit("Shipped")),
-            "Route": F.col("number").cast("int"),
-        })
+        return _likp(lines, customer)
 
     def lips(self, with_order: bool = True) -> DataFrame:
         """Delivery items. ``with_order=False`` skips the order lookup (no customer)."""
         lines, customer = self._finished_with_order(with_order, "l_linenumber")
-        return _fill(lines, "LIPS", customer | {
-            "Delivery Number": F.col("delivery"),
-            "Item Number": F.col("l_linenumber"),
-            "Material Number": F.col("part").cast("string"),
-            "Delivered Quantity": _amount(F.col("quantity"), 3),
-            "Net Price": _amount(F.col("price"), 2),
-            "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
-            "Sales Document": F.col("l_orderkey"),
-            "Sales Item": F.col("l_linenumber"),
-            "Delivery Date": F.col("last_day"),
-        })
+        return _lips(lines, customer)
 
     def vttk(self, with_order: bool = True) -> DataFrame:
         """Shipment headers. ``with_order=False`` skips the order lookup (no customer)."""
         lines, customer = self._finished_with_order(with_order)
-        return _fill(lines, "VTTK", customer | {
-            "Shipment Number": F.col("delivery") + SHIPMENT_ID_BASE,
-            "Shipment Date": F.col("first_day"),
-            "Sales Document": F.col("l_orderkey"),
-            "Delivery Number": F.col("delivery"),
-            "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
-            "Carrier": F.concat(F.lit("Carrier"), (F.col("point") % 3 + 1).cast("string")),
-            "Shipment Status": _decode(F.col("last_flag"), {"N": "Delivered"}, F.lit("In Transit")),
-            "Route": F.col("number").cast("int"),
-        })
+        return _vttk(lines, customer)
 
     def vttp(self, with_order: bool = True) -> DataFrame:
         """Shipment items. ``with_order=False`` skips the order lookup (no customer)."""
         lines, customer = self._finished_with_order(with_order, "l_linenumber")
-        return _fill(lines, "VTTP", customer | {
-            "Shipment Number": F.col("delivery") + SHIPMENT_ID_BASE,
-            "Item Number": F.col("l_linenumber"),
-            "Material Number": F.col("part").cast("string"),
-            "Shipped Quantity": _amount(F.col("quantity"), 3),
-            "Item Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
-            "Delivery Number": F.col("delivery"),
-            "Sales Document": F.col("l_orderkey"),
-            "Sales Item": F.col("l_linenumber"),
-            "Shipment Date": F.col("first_day"),
-        })
+        return _vttp(lines, customer)
+
+
+def _deliveries(lines: DataFrame) -> DataFrame:
+    """Finished lines with their order as deliveries: one row per (order, supplier) and copy of the order."""
+    own = ["l_orderkey", "point", "number", "delivery", "o_custkey", "o_orderpriority", "copy"]
+    return lines.groupBy(*own).agg(
+        F.max("last_day").alias("last_day"), F.min("first_day").alias("first_day"),
+        F.max("last_flag").alias("last_flag"), F.min("first_flag").alias("first_flag"),
+    )
+
+
+def _likp(lines: DataFrame, orders: dict[str, Column]) -> DataFrame:
+    return _fill(lines, "LIKP", orders | {
+        "Delivery Number": F.col("delivery"),
+        "Delivery Date": F.col("last_day"),
+        "Sales Document": F.col("l_orderkey"),
+        "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
+        "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
+        "Shipping Status": _decode(F.col("first_flag"), {"A": "Not Shipped"}, F.lit("Shipped")),
+        "Route": F.col("number").cast("int"),
+    })
+
+
+def _lips(lines: DataFrame, orders: dict[str, Column]) -> DataFrame:
+    return _fill(lines, "LIPS", orders | {
+        "Delivery Number": F.col("delivery"),
+        "Item Number": F.col("l_linenumber"),
+        "Material Number": F.col("part").cast("string"),
+        "Delivered Quantity": _amount(F.col("quantity"), 3),
+        "Net Price": _amount(F.col("price"), 2),
+        "Delivery Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
+        "Sales Document": F.col("l_orderkey"),
+        "Sales Item": F.col("l_linenumber"),
+        "Delivery Date": F.col("last_day"),
+    })
+
+
+def _vttk(lines: DataFrame, orders: dict[str, Column]) -> DataFrame:
+    return _fill(lines, "VTTK", orders | {
+        "Shipment Number": F.col("delivery") + SHIPMENT_ID_BASE,
+        "Shipment Date": F.col("first_day"),
+        "Sales Document": F.col("l_orderkey"),
+        "Delivery Number": F.col("delivery"),
+        "Shipping Point": F.concat(F.lit("SP"), F.col("point").cast("string")),
+        "Carrier": F.concat(F.lit("Carrier"), (F.col("point") % 3 + 1).cast("string")),
+        "Shipment Status": _decode(F.col("last_flag"), {"N": "Delivered"}, F.lit("In Transit")),
+        "Route": F.col("number").cast("int"),
+    })
+
+
+def _vttp(lines: DataFrame, orders: dict[str, Column]) -> DataFrame:
+    return _fill(lines, "VTTP", orders | {
+        "Shipment Number": F.col("delivery") + SHIPMENT_ID_BASE,
+        "Item Number": F.col("l_linenumber"),
+        "Material Number": F.col("part").cast("string"),
+        "Shipped Quantity": _amount(F.col("quantity"), 3),
+        "Item Status": _decode(F.col("last_flag"), DELIVERY_STATUS),
+        "Delivery Number": F.col("delivery"),
+        "Sales Document": F.col("l_orderkey"),
+        "Sales Item": F.col("l_linenumber"),
+        "Shipment Date": F.col("first_day"),
+    })
 
 
 def _whole(name: str, digits: int) -> Column:

@@ -31,7 +31,7 @@ def write_tables(tables: Mapping[str, DataFrame], root: str) -> WrittenTables:
 
     def write(name: str, df: DataFrame) -> tuple[DataFrame, int]:
         counted = Observation()
-        df.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/{name}")
+        df.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/{name}", compression="zstd")
         return spark.read.schema(df.schema).parquet(f"{root}/{name}"), counted.get["n"]
 
     written = run_together([lambda n=n, df=df: write(n, df) for n, df in tables.items()])
@@ -65,7 +65,7 @@ class LazyTables(Mapping[str, DataFrame]):
         For jobs that read a derived table several times: it is derived once, and every
         reader then scans only the columns it needs.
         """
-        written = run_together([lambda df=self[n], n=n: materialize(df, n) for n in names])
+        written = run_together([lambda df=self[n], n=n: materialize(df, n, "zstd") for n in names])
         return self.replace(**{n: lambda df=df: df for n, df in zip(names, written)})
 
 

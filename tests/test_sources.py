@@ -245,3 +245,23 @@ def test_tasks_are_bounded_by_size_not_by_number(spark, tmp_path):
             spark.conf.set(k, v)
     spark.range(1000).write.parquet(f"{tmp_path}/t.parquet")
     assert files.size(spark, f"{tmp_path}/t.parquet") > 1000 and files.size(spark, f"{tmp_path}/none") == 0
+
+
+def test_landed_sheets_equal_those_derived_alone(spark, tmp_path):
+    """Finished lines are written once; orders that repeat or have no key, and lines without, give the same rows."""
+    day = "timestamp'1995-03-02'"
+    spark.sql(f"""SELECT * FROM VALUES (1, 7, 'F', 1.0, {day}, '1-A'), (1, 7, 'F', 1.0, {day}, '1-A'), (1, 8, 'O', 2.0, {day}, '2-B'),
+        (2, NULL, 'P', 2.0, {day}, '2-B'), (NULL, 9, 'F', 3.0, {day}, '1-A') AS t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
+    """).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(f"""SELECT k l_orderkey, p l_partkey, s l_suppkey, n l_linenumber, CAST(q AS double) l_quantity, 2.5D l_extendedprice, f l_returnflag,
+        t l_linestatus, {day} + make_interval(0, 0, 0, q) l_shipdate FROM VALUES (1, 3, 5, 1, 4, 'N', 'F'), (1, 3, 5, 1, 6, 'A', 'F'), (1, 2, 4, 2, 1, 'R', 'F'),
+        (1, 2, 5, 3, 1, 'R', 'F'), (2, 2, 4, 1, NULL, 'N', 'F'), (2, 2, 4, 2, 3, 'N', 'O'), (3, 1, 1, 1, 2, NULL, 'F'),
+        (NULL, 1, 1, 1, 2, 'N', 'F'), (4, 1, NULL, NULL, 2, 'A', 'F') AS t(k, p, s, n, q, f, t)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    bridge = Bridge(spark, str(tmp_path))
+    alone, landed = bridge.sheets(), bridge.landed_sheets("VBAP")
+    for name in ("VBAP", "LIKP", "LIPS", "VTTK", "VTTP"):
+        assert landed[name].dtypes == alone[name].dtypes
+        assert sorted(map(repr, landed[name].collect())) == sorted(map(repr, alone[name].collect()))
+        assert not any("lineitem" in path for path in landed[name].inputFiles())
+    for one, other in (("LIPS", "VTTP"), ("LIKP", "VTTK")):
+        assert set(landed[one].inputFiles()) == set(landed[other].inputFiles())
