@@ -182,10 +182,15 @@ _QUERIES = {
 }
 
 
+BATCH_BYTES = 4 << 20
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Settings the plans rely on; Python workers on this machine find the package where it was loaded."""
     path = str(Path(__file__).parents[2])
     spark.sparkContext.environment.setdefault("PYTHONPATH", path)
+    # Rows sent to Python at a time: a batch is held on both sides, and by every core of an executor.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return tune(spark)
 
 

@@ -79,3 +79,18 @@ def test_query_equals_its_sql(spark, name):
     columns = expected.columns
     assert sorted(got.columns) == sorted(columns)
     assert Counter(map(tuple, got.select(*columns).collect())) == Counter(expected.fetchall())
+
+
+def test_batches_sent_to_python_are_bounded_by_bytes(spark):
+    """Long texts come in more batches, not in larger ones."""
+    import pyarrow as pa
+
+    from orderlens.llm.queries import BATCH_BYTES, ready
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    rows = ready(spark).range(6000, numPartitions=1).selectExpr("id", "repeat('x', 2000) AS text")
+    found = rows.mapInArrow(sizes, "n bigint, bytes bigint").collect()
+    assert sum(r["n"] for r in found) == 6000 and max(r["bytes"] for r in found) < 1.1 * BATCH_BYTES
