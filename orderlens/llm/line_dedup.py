@@ -9,20 +9,25 @@ limit has that segment near a place that the two lengths fix. Lines are indexed
 number, segment) and probe, for their own and the k next smaller lengths, with the substrings near those
 places. Pairs that meet are verified by banded bit-parallel edit distance.
 
-A bucket of more than BUCKET lines is first linked through one of its members, line by line. Only if it
-still holds several components are its pairs formed, and then across components alone: what is left out
-is linked already, so the components are those of all pairs. Copies of one line fall to the first step,
-however many there are; lines that share a segment and are otherwise far apart are compared in pairs.
+A bucket of more than BUCKET lines is first compared with one line, its hub, line by line. That links some, and
+tells of each line how far the hub goes along with it, from either end, before the first edit and before one edit
+more than its limit. Two lines within the limit have overlapping spans of that kind at both ends: what one of them
+reaches unchanged, the other one reaches with the edits between the two. So lines meet in cells of such spans
+instead of the bucket, and only across components: what is left out is linked already, so the components
+are those of all pairs. Copies and near copies of one line are told apart by where they differ from it. A cell that
+is crowded still, of lines that differ from the hub in the same place, goes by the rarest grams of its lines.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import WORD, components
@@ -36,7 +41,11 @@ SEGMENT = 10
 #: Code points of a line that takes part at least, unless another number is asked for.
 MIN_CHARS = 20
 BUCKET = 32
-#: Code points of the grams that tell lines of a crowded bucket apart; fewer than SEGMENT, so that a line has more
+#: A cell of more than CROWD * BUCKET lines goes by grams: they cost a line as much as some hundred comparisons of spans.
+CROWD = 8
+#: Parts of a hub that the spans of a crowded bucket's lines are told apart by, from either end.
+PARTS = 16
+#: Code points of the grams that tell lines of a crowded cell apart; fewer than SEGMENT, so that a line has more
 #: of them than its edits change, unless it repeats itself.
 GRAM = 8
 #: Columns of 64 bits for the grams of a line.
@@ -127,17 +136,24 @@ _CELLS = 1 << 21
 
 
 def within(left: list[str], right: list[str], most: int) -> np.ndarray:
-    """Whether the edit distance of each pair is at most ``most``; pairs of like length go together."""
+    """Whether the edit distance of each pair is at most ``most``."""
+    return compared(left, right, most)[0] <= most
+
+
+def compared(left: list[str], right: list[str], most: int) -> np.ndarray:
+    """Three rows, of each pair: the edit distance, or most + 1 if it is more; the characters of the left text that
+    some beginning of the right one equals; those that one is within ``most`` edits of. Pairs of like length go together.
+    """
     longest = np.array([max(len(a), len(b)) for a, b in zip(left, right)], np.int64)
-    order, near, first = np.argsort(longest, kind="stable"), np.zeros(len(left), bool), 0
+    order, found, first = np.argsort(longest, kind="stable"), np.zeros((3, len(left)), np.int64), 0
     while first < len(order):
         end = first + 1
         while end < len(order) and (end + 1 - first) * (longest[order[end]] + 8) <= _CELLS:
             end += 1
         own = order[first:end]
-        near[own] = _banded([left[k] for k in own], [right[k] for k in own], most)
+        found[:, own] = _banded([left[k] for k in own], [right[k] for k in own], most)
         first = end
-    return near
+    return found
 
 
 def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
@@ -154,13 +170,14 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
         b[i, most : most + len(y)] = np.frombuffer(y.encode("utf-32-le", "surrogatepass"), np.uint32) + 2
     one, full = np.uint64(1), np.uint64((1 << band) - 1)
     reach = [np.full(len(left), sum(1 << d for d in range(most, most + e + 1)), np.uint64) for e in range(most + 1)]
-    alive, answer = np.arange(len(left)), np.zeros(len(left), bool)
+    alive, found = np.arange(len(left)), np.array([[most + 1], [0], [0]]).repeat(len(left), 1)
     for i in range(int(size_a.max()) + 1):
         ended = np.flatnonzero(size_a[alive] == i)
         if len(ended):
             d = size_b[alive[ended]] - i + most
             inside = (d >= 0) & (d < band)
-            answer[alive[ended]] = inside & ((reach[most][ended] >> np.where(inside, d, 0).astype(np.uint64)) & one).astype(bool)
+            for r in reach:
+                found[0, alive[ended]] -= inside & ((r[ended] >> np.where(inside, d, 0).astype(np.uint64)) & one).astype(bool)
         if i % 16 == 0 or len(ended):
             going = (reach[most] != 0) & (size_a[alive] > i)
             if not going.any():
@@ -178,7 +195,31 @@ def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
                 cells |= (new[e - 1] << one) & full  # a character of the right text only
             new.append(cells)
         reach = new
-    return answer
+        found[1, alive] += reach[0] != 0
+        found[2, alive] += reach[most] != 0
+    return found
+
+
+def _spans(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Of each line b and its hub a: whether they are within the limit, the limit k of b and its length; how many
+    characters of the hub go along with b before its first edit, and before one more than k, from the left (l0, lk)
+    and from the right (r0, rk); and the parts of the hub that these fall in, as pl0 to prk.
+    """
+    for batch in batches:
+        hubs, texts = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
+        of_hub, size = (np.array([len(t) for t in side], np.int64) for side in (hubs, texts))
+        k, ends, apart = limit(size, most), np.zeros((4, len(texts)), np.int64), np.zeros(len(texts), np.int64)
+        for e in np.unique(k):
+            own = np.flatnonzero(k == e)
+            apart[own], *ends[:2, own] = compared([hubs[j] for j in own], [texts[j] for j in own], int(e))
+            ends[2:, own] = compared([hubs[j][::-1] for j in own], [texts[j][::-1] for j in own], int(e))[1:]
+        near = apart <= limit(np.minimum(of_hub, size), most)
+        columns = [near, k, size, *ends, *(ends * PARTS // (of_hub + 1))]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "h_b")), *map(pa.array, columns)], _SPANS)
+
+
+_ENDS = ["l0", "lk", "r0", "rk"]
+_SPANS = ["a", "b", "h", "near", "k", "size", *_ENDS, *(f"p{e}" for e in _ENDS)]
 
 
 def _grams(batches: Iterator[pa.RecordBatch], most: int, marks: bool) -> Iterator[pa.RecordBatch]:
@@ -206,32 +247,73 @@ def _grams(batches: Iterator[pa.RecordBatch], most: int, marks: bool) -> Iterato
             yield pa.RecordBatch.from_arrays(columns, ["h", "gram", "enough"])
 
 
-def _across(many: DataFrame, near: DataFrame, held: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of lines in buckets ``many`` that may be within the limit and that the links ``near`` leave in
-    different components.
+def _hubs(many: DataFrame) -> DataFrame:
+    """(key, a): the line that each crowded bucket is compared with, one of many others, which need not be in it.
 
-    k edits change at most GRAM * k grams of a line. So of two lines within k edits, each ordered by how many of
-    these lines hold a gram, the rarest GRAM * k + 1 share one, and their marks differ in 2 * GRAM * k bits at most.
-    Lines of one crowd differ in their rare grams.
+    Lines of which few copies differ in a segment are in the most crowded buckets for all their segments; a bucket
+    takes the first such line that its own lines meet elsewhere. Any choice is right; this one links and tells apart more.
     """
-    roots = components(near, "crowds").withColumnRenamed("id", "line")
-    rows = many.join(held.select("h", "line"), "h").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
-    mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    apart = materialize(rows.join(mixed.select("key"), "key").select("h", "root").distinct(), "open")
-    texts = held.join(apart.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    ranks = many.groupBy("h").agg(F.sum("n").alias("rank"))
+    members = many.select("key", "h").join(ranks, "h").select("key", "h", F.struct("rank", "h").alias("top"))
+    in_bucket = members.groupBy("key").agg(F.max("top").alias("top"))
+    of_line = members.drop("top").join(in_bucket, "key").groupBy("h").agg(F.max("top").alias("top"))
+    return members.drop("top").join(of_line, "h").groupBy("key").agg(F.max("top").alias("top")).select("key", F.col("top.h").alias("a"))
+
+
+def _across(spans: DataFrame, near: DataFrame, held: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of lines compared with one hub that may be within the limit and that the links ``near`` leave in
+    different components; ``spans`` as from _spans().
+
+    Say that b is within k edits of c. The characters of the hub that b's beginning equals, c's beginning is within k
+    edits of. So l0 of b is no more than lk of c, and the other way round: the two spans overlap, and the part that the
+    later one starts in is in both. The same holds from the right.
+    """
+    roots = components(near, "crowds").withColumnRenamed("id", "b")
+    rows = spans.drop("near").join(roots, "b", "left").withColumn("root", F.coalesce("root", "b"))
+    several = lambda df, *by: df.groupBy(*by).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo != hi")
+    rows = materialize(rows.join(several(rows, "a").select("a"), "a"), "open")
+    parts = rows.withColumn("left", F.explode(F.sequence("pl0", "plk"))).withColumn("right", F.explode(F.sequence("pr0", "prk")))
+    cell = ["a", "left", "right"]
+    cells = parts.join(several(parts, *cell).select(*cell, "n"), cell)
+    cells = materialize(cells.select(F.xxhash64(*cell).alias("cell"), "left", "right", "n", "h", "root", "k", "size", *_ENDS, "pl0", "pr0"), "cells")
+
+    def met(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
+        own = ["left", "right", "h", "root", "k", "size", *_ENDS, "pl0", "pr0", *more]
+        a, b = (rows.select(*keys, *[F.col(c).alias(f"{c}_{side}") for c in own]) for side in "ab")
+        overlap = [F.col(f"{e}0_{x}") <= F.col(f"{e}k_{y}") for e in "lr" for x, y in ("ab", "ba")]
+        once = [F.col(f"{at}_a") == F.greatest(f"{p}_a", f"{p}_b") for at, p in (("left", "pl0"), ("right", "pr0"))]
+        fits = F.abs(F.col("size_a") - F.col("size_b")) <= F.least("k_a", "k_b")
+        return a.join(b, keys).where(reduce(and_, [F.col("h_a") < F.col("h_b"), F.col("root_a") != F.col("root_b"), fits, *overlap, *once, *_alike(more)]))
+
+    few, many = cells.where(F.col("n") <= CROWD * BUCKET), cells.where(F.col("n") > CROWD * BUCKET)
+    pairs = met(few, ["cell"]).select("h_a", "h_b")
+    if not many.isEmpty():
+        pairs = pairs.unionByName(met(_rarest(many.drop("n"), held, most), ["cell", "gram"], "enough", *MARKS).select("h_a", "h_b"))
+    return pairs.toDF("a", "b").distinct()
+
+
+def _alike(columns: tuple[str, ...]) -> list[Column]:
+    """That the marks of two lines differ in few bits, where they have marks."""
+    differ = [F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MARKS if m in columns]
+    return [reduce(add, differ) <= 2 * (F.least("enough_a", "enough_b") - 1)] if differ else []
+
+
+def _rarest(cells: DataFrame, held: DataFrame, most: int) -> DataFrame:
+    """Rows of crowded ``cells`` for the rarest grams of each line among those of its cell, with the line's marks.
+
+    k edits change at most GRAM * k grams of a line. So of two lines within k edits, each ordered by how many lines
+    of the cell hold a gram, the rarest GRAM * k + 1 share one, and their marks differ in 2 * GRAM * k bits at most.
+    """
+    texts = held.join(cells.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
     texts = materialize(texts, "crowded")
     grams = texts.mapInArrow(lambda batches: _grams(batches, most, False), "h bigint, gram bigint, enough bigint")
-    counts = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    placed = F.row_number().over(Window.partitionBy("h").orderBy("n", "gram"))
-    ranked = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", placed)
-    rarest = ranked.where("(place <= enough or gram = 0) and n > 1").select("gram", "h", "enough")
+    grams = cells.select("cell", "h").join(grams, "h")
+    counts = grams.groupBy("cell", "gram").agg(F.count("*").alias("n")).where("n > 1")
+    placed = F.row_number().over(Window.partitionBy("cell", "h").orderBy("n", "gram"))
+    ranked = grams.join(counts, ["cell", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", placed)
+    rarest = ranked.where("(place <= enough or gram = 0) and n > 1").select("cell", "gram", "h", "enough")
     marks = texts.mapInArrow(lambda batches: _grams(batches, most, True), "h bigint, " + ", ".join(f"{m} bigint" for m in MARKS))
-    rarest = materialize(rarest.join(marks, "h").join(apart, "h"), "rarest")
-    side = lambda name: rarest.select("gram", *[F.col(c).alias(f"{c}_{name}") for c in ("h", "root", "enough", *MARKS)])
-    differ = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MARKS), F.lit(0))
-    alike = differ <= 2 * (F.least("enough_a", "enough_b") - 1)
-    met = side("a").join(side("b"), "gram").where((F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")) & alike)
-    return met.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    return materialize(rarest.join(cells, ["cell", "h"]).join(marks, "h"), "rarest")
 
 
 def links(rows: DataFrame, most: int) -> DataFrame:
@@ -241,21 +323,23 @@ def links(rows: DataFrame, most: int) -> DataFrame:
     """
     texts = rows.where(F.char_length("text") >= 2 * SEGMENT).select("line", F.xxhash64("text").alias("h"), "text")
     met = materialize(_buckets(texts, most), "met")
-    held = materialize(texts.join(met.select("h").distinct(), "h", "left_semi").dropDuplicates(["line"]), "texts")
+    # Written, their size is known before texts are read: these are shuffled only if the hashes are too many to broadcast.
+    hashes = materialize(met.select("h").distinct(), "hashes")
+    held = materialize(texts.join(hashes, "h", "left_semi").dropDuplicates(["line"]), "texts")
     few, many = met.where(F.col("n") <= BUCKET), met.where(F.col("n") > BUCKET)
     side = lambda name: held.select(F.col("h").alias(f"h_{name}"), F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
-    verified = lambda pairs: pairs.toDF("h_a", "h_b").join(side("a"), "h_a").join(side("b"), "h_b").mapInArrow(
-        lambda batches: _within(batches, most), "a binary, b binary"
-    )
+    sides = lambda pairs: pairs.toDF("h_a", "h_b").join(side("a"), "h_a").join(side("b"), "h_b")
+    verified = lambda pairs: sides(pairs).mapInArrow(lambda batches: _within(batches, most), "a binary, b binary")
     a = few.where("not probes").select("key", F.col("h").alias("a"))
     b = few.select("key", F.col("h").alias("b"), "probes")
-    pairs = a.join(b, "key").where("a != b and (probes or a < b)").select("a", "b")
-    hubs = many.where("not probes").groupBy("key").agg(F.min("h").alias("a"))
-    stars = many.join(hubs, "key").select("a", F.col("h").alias("b")).where("a != b")
-    near = materialize(verified(pairs.unionByName(stars).distinct()), "near")
+    near = verified(a.join(b, "key").where("a != b and (probes or a < b)").select("a", "b").distinct())
     if many.isEmpty():
         return near
-    return near.unionByName(verified(_across(many, near, held, most)))
+    stars = many.join(_hubs(many), "key").select("a", F.col("h").alias("b")).where("a != b").distinct()
+    kinds = ", ".join(f"{c} {'binary' if c in 'ab' else 'boolean' if c == 'near' else 'bigint'}" for c in _SPANS)
+    spans = materialize(sides(stars).mapInArrow(lambda batches: _spans(batches, most), kinds), "spans")
+    near = materialize(near.unionByName(spans.where("near").select("a", "b")), "near")
+    return near.unionByName(verified(_across(spans, near, held, most)))
 
 
 def classes(docs: DataFrame, most: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:

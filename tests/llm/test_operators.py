@@ -705,6 +705,50 @@ def test_a_crowd_that_is_far_apart_forms_few_pairs(spark, monkeypatch):
     assert len(got) == 1000 and len(formed) == 1 and formed[0] < 5000
 
 
+def test_variants_of_a_line_form_few_pairs(spark, monkeypatch):
+    """Copies of one line with another word each: lines meet where they differ from it, and not all in pairs."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 4)) for _ in range(30)]
+    lines = [" ".join(words)]
+    for _ in range(250):
+        at = int(rng.integers(0, 30))
+        lines.append(" ".join([*words[:at], "".join(rng.choice(list("qrstuvwxyz"), 4)), *words[at + 1 :]]))
+    lines += [t.replace("q", "Q", 1) for t in lines[1:61] if "q" in t]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    formed, across = [], line_dedup._across
+
+    def counted(*args):
+        pairs = across(*args).cache()
+        formed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_across", counted)
+    got = {r["doc_id"]: r["class_doc_id"] for r in line_dedup.line_classes(docs).collect()}
+    every = list(combinations(range(len(lines)), 2))
+    near = line_dedup.within([lines[a] for a, _ in every], [lines[b] for _, b in every], 3)
+    assert got == roots(range(len(lines)), [pair for pair, n in zip(every, near) if n])
+    assert len(formed) == 1 and formed[0] < 5000
+
+
+def test_spans_of_lines_within_the_limit_overlap():
+    """The bound that cells rest on, against the full table: what one line reaches unchanged, the other reaches with the edits between them."""
+    rng = np.random.default_rng(13)
+    hub = "".join(rng.choice(list("abc"), 40))
+    lines = [hub]
+    for _ in range(90):
+        line = list(lines[int(rng.integers(0, len(lines)))])
+        for _ in range(int(rng.integers(1, 5))):
+            at = int(rng.integers(0, len(line) + 1))
+            line[at : at + int(rng.integers(0, 2))] = list(rng.choice(list("abcd"), int(rng.integers(0, 2))))
+        lines.append("".join(line))
+    for most in (1, 3):
+        spans = [line_dedup.compared([t] * len(lines), texts, most)[1:] for t, texts in ((hub, lines), (hub[::-1], [t[::-1] for t in lines]))]
+        near = [(a, b) for a, b in combinations(range(len(lines)), 2) if abs(len(lines[a]) - len(lines[b])) <= most and levenshtein(lines[a], lines[b]) <= most]
+        assert near
+        for least, reach in spans:
+            assert all(least[a] <= reach[b] and least[b] <= reach[a] for a, b in near)
+
+
 def test_top_k_packs_counts_only_where_impacts_leave_room_for_them():
     """Rows seen are counted in the sums of their impacts; impacts too large for that are added apart, to the same rows."""
     rng = np.random.default_rng(4)
