@@ -4,10 +4,11 @@ Two lines are linked if their edit distance is at most limit() of the shorter on
 and fewer in lines of under SEGMENT * (THRESHOLD + 1) code points, so that a segment never has fewer than
 SEGMENT of them. Lines of under 2 * SEGMENT code points are linked if they are equal.
 
-A line with limit k is split into k + 1 segments; k edits leave one of them whole, so a line within the
-limit has that segment near a place that the two lengths fix. Lines are indexed under (length, segment
-number, segment) and probe, for their own and the k next smaller lengths, with the substrings near those
-places. Pairs that meet are verified by banded bit-parallel edit distance.
+Lines go by classes of like lengths, and a line that is little longer than a class joins its lines as a probe. A line with
+limit k has k + 1 segments, as long as the least length of its class allows, half of them counted from its beginning and
+half from its end; k edits leave one of them whole and near its place (see _places()). Lines are indexed under (class,
+segment number, segment) and probe with the substrings near those places. Pairs that meet and are of like length are
+verified by banded bit-parallel edit distance.
 
 A bucket of more than BUCKET lines is first compared with one line, its hub, line by line. That links some, and
 tells of each line how far the hub goes along with it, from either end, before the first edit and before one edit
@@ -45,9 +46,13 @@ BUCKET = 32
 CROWD = 8
 #: Parts of a hub that the spans of a crowded bucket's lines are told apart by, from either end.
 PARTS = 16
+#: Lengths of the lines of a cell, besides those that a line within the limit may be longer by.
+SIZES = 4
 #: Code points of the grams that tell lines of a crowded cell apart; fewer than SEGMENT, so that a line has more
 #: of them than its edits change, unless it repeats itself.
 GRAM = 8
+#: Words of 64 bits in the bit map that lines are looked up in before their texts are shuffled: a few MB to broadcast.
+WORDS = 1 << 18
 #: Columns of 64 bits for the grams of a line.
 MARKS = [f"marks{k}" for k in range(16)]
 
@@ -61,7 +66,11 @@ def lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "text")
     )
     there = (F.char_length("text") >= shortest) & F.col("text").rlike(WORD)
-    return rows.where(there).withColumn("line", F.unhex(F.md5("text")))
+    return rows.where(there).withColumn("line", _name())
+
+
+def _name() -> Column:
+    return F.unhex(F.md5("text"))
 
 
 def limit(length: np.ndarray, most: int) -> np.ndarray:
@@ -74,20 +83,38 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return rows.select("line", F.struct("doc_id", "line_no").alias("at")).groupBy("line").agg(F.min("at").alias("first"), F.count("*").alias("times"))
 
 
-def _places(most: int, probes: bool) -> Iterator[tuple[int, int, int, int]]:
-    """(limit, length difference, segment, shift) of the substrings that a line is indexed under, or probes with.
+def _classes(size: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """The shortest length of each line's class, and then of classes before it while a line there may be within the
+    limit (0 if none may). All lines of a class have one limit; its lengths are SEGMENT, or up to an eighth of the least.
+    """
+
+    def least(n: np.ndarray) -> np.ndarray:
+        width = SEGMENT << np.log2(np.maximum(n // (max(8, most + 1) * SEGMENT), 1)).astype(np.int64)
+        return n // width * width
+
+    n = least(size)
+    while n.any():
+        yield n
+        before = np.maximum(n - 1, 0)
+        n = np.where(size - n < limit(before, most), least(before), 0)
 
-    The edits before a segment shift it, and those after it account for the rest of the difference in length.
+
+def _places(k: int) -> Iterator[tuple[int, int, int]]:
+    """(segment, its place, shift) of the substrings that a line of limit k is indexed under (shift 0) or probes with;
+    places are counted from the left or, if negative, from the right.
+
+    If the first m segments hold fewer than m edits, the first one up to which there are no more edits than segments
+    before it is whole, and there are as many edits before it as segments: its shift is no more than that. Of m segments
+    from the left and k + 1 - m from the right, one side at least has fewer edits than segments.
     """
-    for k in range(1, most + 1):
-        for longer in range(k + 1 if probes else 1):
-            for i in range(k + 1):
-                shifts = range(max(-i, longer - (k - i)), min(i, longer + (k - i)) + 1) if probes else [0]
-                yield from ((k, longer, i, d) for d in shifts if not probes or longer or d)
+    half = k // 2 + 1
+    for i in range(k + 1):
+        near = i if i < half else i - half
+        yield from ((i, i if i < half else -near - 1, d) for d in range(-near, near + 1))
 
 
-def _keys(batches: Iterator[pa.RecordBatch], most: int, probes: bool) -> Iterator[pa.RecordBatch]:
-    """(key, h) for every place of every line; copies of a line in one batch count once."""
+def _keys(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(key, h, probes) for every place of every line; copies of a line in one batch count once."""
     for batch in batches:
         batch = batch.take(pa.array(np.unique(batch.column("h").to_numpy(), return_index=True)[1]))
         for first, end, data, offsets in runs(batch.column("text")):
@@ -95,31 +122,50 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, probes: bool) -> Iterato
             codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
             up, down = powers(len(codes))
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)])])
-            size, keys, held = np.diff(at), [], []
-            for k, longer, i, shift in _places(most, probes):
-                n = size - longer
-                start = n * i // (k + 1) + shift
-                stop = n * (i + 1) // (k + 1) + shift
-                own = np.flatnonzero((limit(n, most) == k) & (start >= 0) & (stop <= size))
-                lo, hi = at[own] + start[own], at[own] + stop[own]
-                keys.append(mix((sums[hi] - sums[lo]) * down[lo] + mix((n[own] * 64 + i).astype(np.uint64))).view(np.int64))
-                held.append(first + own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), batch.column("h").take(pa.array(np.concatenate(held)))], ["key", "h"]
-            )
+            size, keys, held, probing = np.diff(at), [], [], []
+            for before, n in enumerate(_classes(size, most)):
+                allowed = limit(n, most)
+                for k in range(1, most + 1):
+                    lines_of = np.flatnonzero(allowed == k)
+                    length, width = size[lines_of], n[lines_of] // (k + 1)
+                    for i, place, shift in _places(k):
+                        start = place * width + shift + (length if place < 0 else 0)
+                        fits = np.flatnonzero((start >= 0) & (start + width <= length))
+                        own, lo = lines_of[fits], at[lines_of[fits]] + start[fits]
+                        keys.append(mix((sums[lo + width[fits]] - sums[lo]) * down[lo] + mix((n[own] * 64 + i).astype(np.uint64))).view(np.int64))
+                        held.append(first + own)
+                        probing.append(np.full(len(own), bool(before or shift)))
+            if not keys:
+                continue
+            columns = [pa.array(np.concatenate(keys)), batch.column("h").take(pa.array(np.concatenate(held))), pa.array(np.concatenate(probing))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "h", "probes"])
 
 
 def _buckets(texts: DataFrame, most: int) -> DataFrame:
     """(key, h, probes, n) of keys that two or more lines share, one of them indexed there; ``n`` is at least their number."""
-    keys = lambda probes: texts.select("h", "text").mapInArrow(lambda batches: _keys(batches, most, probes), "key bigint, h bigint")
-    index = materialize(keys(False), "index")
-    probing = keys(True).join(index.select("key").distinct().hint("shuffle_hash"), "key", "left_semi").distinct()
+    keys = materialize(texts.select("h", "text").mapInArrow(lambda batches: _keys(batches, most), "key bigint, h bigint, probes boolean"), "keys")
+    index = keys.where("not probes")
+    probing = keys.where("probes").join(index.select("key").distinct().hint("shuffle_hash"), "key", "left_semi").distinct()
     probing = materialize(probing, "probes")
-    rows = index.withColumn("probes", F.lit(False)).unionByName(probing.withColumn("probes", F.lit(True)))
+    rows = index.unionByName(probing)
     counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo != hi")
     return rows.join(counts.select("key", "n"), "key").distinct()
 
 
+def _held(texts: DataFrame, hashes: DataFrame) -> DataFrame:
+    """(h, text, line) of every line whose ``h`` is one of ``hashes``, once each.
+
+    Few lines are, so a bit map of the hashes, of bounded size, passes over most others before texts are shuffled.
+    """
+    # Written, their size is known before texts are read: these are shuffled only if the hashes are too many to broadcast.
+    hashes = materialize(hashes, "hashes")
+    word, bit = F.shiftright("h", 14).bitwiseAND(WORDS - 1).alias("word"), F.expr("shiftleft(1L, cast(shiftright(h, 8) & 63 as int))").alias("bit")
+    bits = hashes.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    maybe = texts.select("*", word, bit).join(F.broadcast(bits), "word").where("bits & bit != 0").select("h", "text")
+    found = maybe.join(hashes, "h").withColumn("line", _name())  # a semi join would be made before the bit map's
+    return materialize(found.dropDuplicates(["line"]), "texts")
+
+
 def _within(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
@@ -266,22 +312,25 @@ def _across(spans: DataFrame, near: DataFrame, held: DataFrame, most: int) -> Da
 
     Say that b is within k edits of c. The characters of the hub that b's beginning equals, c's beginning is within k
     edits of. So l0 of b is no more than lk of c, and the other way round: the two spans overlap, and the part that the
-    later one starts in is in both. The same holds from the right.
+    later one starts in is in both. The same holds from the right. Their lengths differ by no more than k, so that c goes
+    by the lengths of its cell that are down to its own limit shorter.
     """
     roots = components(near, "crowds").withColumnRenamed("id", "b")
     rows = spans.drop("near").join(roots, "b", "left").withColumn("root", F.coalesce("root", "b"))
     several = lambda df, *by: df.groupBy(*by).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     rows = materialize(rows.join(several(rows, "a").select("a"), "a"), "open")
     parts = rows.withColumn("left", F.explode(F.sequence("pl0", "plk"))).withColumn("right", F.explode(F.sequence("pr0", "prk")))
-    cell = ["a", "left", "right"]
+    parts = parts.withColumn("sizes", F.explode(F.expr(f"sequence((size - k) div {SIZES}, size div {SIZES})")))
+    cell = ["a", "left", "right", "sizes"]
     cells = parts.join(several(parts, *cell).select(*cell, "n"), cell)
-    cells = materialize(cells.select(F.xxhash64(*cell).alias("cell"), "left", "right", "n", "h", "root", "k", "size", *_ENDS, "pl0", "pr0"), "cells")
+    cells = materialize(cells.select(F.xxhash64(*cell).alias("cell"), *cell[1:], "n", "h", "root", "k", "size", *_ENDS, "pl0", "pr0"), "cells")
 
     def met(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
-        own = ["left", "right", "h", "root", "k", "size", *_ENDS, "pl0", "pr0", *more]
+        own = [*cell[1:], "h", "root", "k", "size", *_ENDS, "pl0", "pr0", *more]
         a, b = (rows.select(*keys, *[F.col(c).alias(f"{c}_{side}") for c in own]) for side in "ab")
         overlap = [F.col(f"{e}0_{x}") <= F.col(f"{e}k_{y}") for e in "lr" for x, y in ("ab", "ba")]
         once = [F.col(f"{at}_a") == F.greatest(f"{p}_a", f"{p}_b") for at, p in (("left", "pl0"), ("right", "pr0"))]
+        once.append(F.col("sizes_a") == F.floor(F.least("size_a", "size_b") / SIZES))
         fits = F.abs(F.col("size_a") - F.col("size_b")) <= F.least("k_a", "k_b")
         return a.join(b, keys).where(reduce(and_, [F.col("h_a") < F.col("h_b"), F.col("root_a") != F.col("root_b"), fits, *overlap, *once, *_alike(more)]))
 
@@ -319,20 +368,24 @@ def _rarest(cells: DataFrame, held: DataFrame, most: int) -> DataFrame:
 def links(rows: DataFrame, most: int) -> DataFrame:
     """Pairs (a, b) of lines within the limit that connect every class; ``rows`` as from lines().
 
-    Until texts are compared a line goes by ``h``, a hash of half the size; lines that share it are all compared.
+    Until texts are compared a line goes by ``h``, a hash of half the size, of which the last byte is that of the line's
+    length; lines that share it are all compared.
     """
-    texts = rows.where(F.char_length("text") >= 2 * SEGMENT).select("line", F.xxhash64("text").alias("h"), "text")
+    size = F.char_length("text")
+    h = F.shiftleft(F.xxhash64("text"), 8).bitwiseOR(size.bitwiseAND(255))
+    texts = rows.where(size >= 2 * SEGMENT).select(h.alias("h"), "text")
     met = materialize(_buckets(texts, most), "met")
-    # Written, their size is known before texts are read: these are shuffled only if the hashes are too many to broadcast.
-    hashes = materialize(met.select("h").distinct(), "hashes")
-    held = materialize(texts.join(hashes, "h", "left_semi").dropDuplicates(["line"]), "texts")
     few, many = met.where(F.col("n") <= BUCKET), met.where(F.col("n") > BUCKET)
+    a = few.where("not probes").select("key", F.col("h").alias("a"))
+    b = few.select("key", F.col("h").alias("b"), "probes")
+    apart = F.pmod(F.col("a").bitwiseAND(255) - F.col("b").bitwiseAND(255) + most, F.lit(256))
+    pairs = a.join(b, "key").where("a != b and (probes or a < b)").where(apart <= 2 * most)
+    pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
+    held = _held(texts, pairs.select("a").union(pairs.select("b")).union(many.select("h")).toDF("h").distinct())
     side = lambda name: held.select(F.col("h").alias(f"h_{name}"), F.col("line").alias(name), F.col("text").alias(f"text_{name}"))
     sides = lambda pairs: pairs.toDF("h_a", "h_b").join(side("a"), "h_a").join(side("b"), "h_b")
     verified = lambda pairs: sides(pairs).mapInArrow(lambda batches: _within(batches, most), "a binary, b binary")
-    a = few.where("not probes").select("key", F.col("h").alias("a"))
-    b = few.select("key", F.col("h").alias("b"), "probes")
-    near = verified(a.join(b, "key").where("a != b and (probes or a < b)").select("a", "b").distinct())
+    near = verified(pairs)
     if many.isEmpty():
         return near
     stars = many.join(_hubs(many), "key").select("a", F.col("h").alias("b")).where("a != b").distinct()

@@ -191,6 +191,29 @@ def test_line_classes_of_several_edits_equal_all_pairs(spark, bucket, most, monk
     assert {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in got} == expected
 
 
+@pytest.mark.parametrize("most", [1, 2, 3, 5, 12])
+def test_lines_within_the_limit_meet_by_few_keys(most):
+    """A line within the limit probes with a key of the other one, at any lengths; a line has a third of the keys that
+    every length and shift would take (26 of a line of limit 3, and less than 11 on average now)."""
+    rng, met, keys = np.random.default_rng(21), 0, []
+    for size in (20, 21, 29, 30, 31, 39, 40, 42, 49, 50, 52, 59, 79, 80, 130, 160, 162, 319, 321) * 4:
+        one = "".join(rng.choice(list("abcdefghijklmnopü𝄞"), size))
+        other, edits = list(one), int(line_dedup.limit(np.array([size]), most)[0])
+        for edit in rng.integers(0, 3, edits):
+            at = int(rng.integers(0, len(other)))
+            other[at : at + int(edit > 0)] = ["X"] * int(edit < 2)
+        pair = [one, "".join(other)]
+        shorter = min(map(len, pair))
+        if shorter < 20 or pair[0] == pair[1] or levenshtein(*pair) > line_dedup.limit(np.array([shorter]), most)[0]:
+            continue
+        batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(pair)], ["h", "text"])
+        rows = [tuple(r.values()) for out in line_dedup._keys(iter([batch]), most) for r in out.to_pylist()]
+        every, index = ([{key for key, h, probes in rows if h == n and not (own and probes)} for n in (0, 1)] for own in (False, True))
+        assert index[0] & every[1] or index[1] & every[0], pair
+        met, keys = met + 1, keys + [len(rows) / 2]
+    assert met > 40 and (most != 3 or np.mean(keys) < 11)
+
+
 def test_line_dedup_links_changed_numbers_by_default(spark):
     docs = spark.createDataFrame([(1, "Page 117 of the minutes, printed for the members"), (2, "Page 204 of the minutes, printed for the members")], "doc_id bigint, text string")
     assert [r["doc_id"] for r in line_dedup.line_classes(docs).where("kept").collect()] == [1]
@@ -730,6 +753,16 @@ def test_variants_of_a_line_form_few_pairs(spark, monkeypatch):
     assert len(formed) == 1 and formed[0] < 5000
 
 
+def test_lines_of_a_common_beginning_and_many_lengths_take_no_grams(spark, monkeypatch):
+    """Cells hold lines of like lengths only, so that a crowd of many lengths is told apart without grams."""
+    rng, base = np.random.default_rng(22), "".join(np.random.default_rng(23).choice(list("abcdefghij"), 300))
+    lines = [base + "".join(rng.choice(list("klmnopqrst"), int(size))) for size in rng.integers(640, 700, 400)]
+    monkeypatch.setattr(line_dedup, "CROWD", 3)
+    monkeypatch.setattr(line_dedup, "_rarest", lambda *args: pytest.fail("lines of unlike lengths are in one cell"))
+    docs = spark.createDataFrame([*enumerate(lines), (400, lines[7][:-1])], "doc_id bigint, text string")
+    assert [(r["doc_id"], r["class_doc_id"]) for r in line_dedup.line_classes(docs).collect() if not r["kept"]] == [(400, 7)]
+
+
 def test_spans_of_lines_within_the_limit_overlap():
     """The bound that cells rest on, against the full table: what one line reaches unchanged, the other reaches with the edits between them."""
     rng = np.random.default_rng(13)
