@@ -42,8 +42,26 @@ def guard_unique(result: DataFrame, one: DataFrame, keys: list[str], what: str)
     return result.unionByName(empty)
 
 
+# Groups of keys that are counted first, to find those that can hold a hot key.
+KEY_GROUPS = 1 << 14
+
+
+def hot_keys(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys of ``df`` with more than ``rows_per_task`` rows, with their row count ``n``; no key is null.
+
+    A key's group, of which there are KEY_GROUPS, has no fewer rows than the key. So groups are counted first, which
+    shuffles at most KEY_GROUPS rows a task, and keys only of groups above the bound: mostly none, and then adaptive
+    execution leaves the second count out.
+    """
+    grouped = df.select(*[named(k) for k in on], F.pmod(F.xxhash64(*[named(k) for k in on]), F.lit(KEY_GROUPS)).alias("_group"))
+    crowded = grouped.groupBy("_group").agg(F.count("*").alias("n")).where(F.col("n") > rows_per_task)
+    suspects = grouped.join(F.broadcast(crowded.select("_group")), "_group", "left_semi")
+    return suspects.groupBy(*[named(k) for k in on]).agg(F.count("*").alias("n")).where(F.col("n") > rows_per_task)
+
+
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, on: list[str], row_key: list[str], rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame, right: DataFrame, on: list[str], row_key: list[str], rows_per_task: int = ROWS_PER_TASK,
+    apart: bool = False,
 ) -> DataFrame:
     """Left join for a right side whose rows may pile up on a few keys.
 
@@ -56,10 +74,18 @@ def fanout_left_join(
 
     The salt hashes ``row_key``, the columns that tell the right rows of a key apart, and the
     partition: both are the same when a task is run again, and no other column has to be read.
+
+    ``apart`` salts hot keys beside a plain join of all others, which needs no exchange of a side that lies in
+    buckets of the key; adaptive execution leaves the salted join out where no key is hot. Both read ``left``, so
+    this is for one that is cheap to read.
     """
     right = right.dropna(subset=on)
-    sizes = right.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
-    hot = F.broadcast(sizes.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
+    columns = [named(c) for c in [*left.columns, *[c for c in right.columns if c not in on]]]
+    sizes = hot_keys(right, on, rows_per_task)
+    hot = F.broadcast(sizes.select(*on, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_salts")))
+    if apart:
+        plain = left.join(hot, on, "left_anti").join(right.join(hot, on, "left_anti"), on, "left")
+        left, right = left.join(hot, on, "left_semi"), right.join(hot, on, "left_semi")
 
     deal = F.pmod(F.xxhash64(*[named(c) for c in row_key], F.spark_partition_id()), F.col("_salts"))
     dealt = right.join(hot, on, "left").select(
@@ -70,8 +96,8 @@ def fanout_left_join(
     copies = left.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
-    joined = copies.join(dealt, [*on, "_salt"], "left").where("_salts IS NULL OR _hit")
-    return joined.select(*left.columns, *[c for c in right.columns if c not in on])
+    joined = copies.join(dealt, [*on, "_salt"], "left").where("_salts IS NULL OR _hit").select(*columns)
+    return plain.select(*columns).unionByName(joined) if apart else joined
 
 
 def orphan_values(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,

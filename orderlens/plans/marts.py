@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import day_gap, joined_text, on_time, zero_if_null
@@ -29,14 +29,16 @@ SORT_KEYS = {
 
 def order_lines(headers: DataFrame, items: DataFrame) -> DataFrame:
     """Every order with its items; an order without items keeps one row, items null."""
-    joined = fanout_left_join(headers, items, ["order_id"], ["item_number"])
+    joined = fanout_left_join(headers, items, ["order_id"], ["item_number"], apart=True)
     return guard_unique(joined, headers, ["order_id"], "order header to item")
 
 
 def order_items(headers: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order lines with the customer's name and place."""
+    """Order lines with the customer's name and place, which are looked up per order, before items multiply the rows."""
     who = customers.select("customer_id", "customer_name", "country", "region", "city")
-    joined = order_lines(headers, items).join(who, "customer_id", "left")
+    placed = headers.join(who, "customer_id", "left")
+    joined = fanout_left_join(placed, items, ["order_id"], ["item_number"], apart=True)
+    joined = guard_unique(joined, headers, ["order_id"], "order header to item")
     joined = guard_unique(joined, who, ["customer_id"], "order item to customer")
     return joined.select(*headers.columns, *[c for c in items.columns if c != "order_id"], *who.columns[1:])
 
@@ -120,9 +122,14 @@ def _per_order(items: DataFrame, key: str, quantity: str, status: str, names: tu
     )
 
 
-def order_summary(headers: DataFrame, items: DataFrame, delivered: DataFrame, shipped: DataFrame) -> DataFrame:
+def order_summary(
+    headers: DataFrame, items: DataFrame, delivered: DataFrame, shipped: DataFrame, performance: DataFrame | None = None
+) -> DataFrame:
     """One row per order with item, delivery and shipment totals.
 
+    ``performance`` is the item delivery performance of the same sheets, where it is written already: items have met
+    their deliveries there.
+
     Each input is reduced to one row per order before any join, so no quantity is
     counted twice and no order can be a hot key. An order nothing was delivered for has
     null delivery figures and its whole quantity outstanding.
@@ -139,8 +146,10 @@ def order_summary(headers: DataFrame, items: DataFrame, delivered: DataFrame, sh
         shipped.where(keyed), "shipment_id", "shipped_quantity", "item_shipment_status",
         ("total_shipments", "total_shipped_qty", "shipment_statuses"),
     )
-    wanted = items.where(keyed).select(*ITEM_KEY, "requested_delivery_date")
-    timing = match_deliveries(wanted, delivered).groupBy("order_id").agg(
+    if performance is None:
+        wanted = items.where(keyed).select(*ITEM_KEY, "requested_delivery_date")
+        performance = match_deliveries(wanted, delivered)
+    timing = performance.where(keyed).groupBy("order_id").agg(
         F.avg("delivery_gap_days").alias("avg_delivery_gap_days"),
         F.avg(F.col("on_time_proxy").cast("double")).alias("pct_items_on_time_proxy"),
     )
@@ -177,18 +186,30 @@ def analytics_rows(lines: DataFrame, delivered: DataFrame, shipped: DataFrame) -
     The first shipment is looked up per item, before deliveries multiply the rows.
     """
     with_shipment = lines.join(first_shipment_per_item(shipped), ITEM_KEY, "left")
-    return match_deliveries(with_shipment, delivered).select(
-        "order_id", "item_number", "shipment_id",
+    return match_deliveries(with_shipment, delivered).select(*_analytics_columns(), "delivery_id", "delivery_item")
+
+
+def _analytics_columns() -> list[Column]:
+    """What delivery analytics hold of items matched with their first shipment and their deliveries."""
+    return [
+        *map(F.col, [*ITEM_KEY, "shipment_id"]),
         F.col("delivery_gap_days").alias("delivery_time_days"),
         F.col("on_time_proxy").alias("on_time"),
         F.lit(None).cast("string").alias("delay_reason"),
-        "delivery_id", "delivery_item",
-    )
+    ]
 
 
-def delivery_analytics(lines: DataFrame, delivered: DataFrame, shipped: DataFrame) -> DataFrame:
-    """Delay per order item and delivery; the sources give no delay reason."""
-    return analytics_rows(lines, delivered, shipped).drop("delivery_id", "delivery_item")
+def delivery_analytics(
+    lines: DataFrame, delivered: DataFrame, shipped: DataFrame, performance: DataFrame | None = None
+) -> DataFrame:
+    """Delay per order item and delivery; the sources give no delay reason.
+
+    ``performance`` is the item delivery performance of the same rows, where it is written already: items have met
+    their deliveries there, so only their first shipment is looked up.
+    """
+    if performance is None:
+        return analytics_rows(lines, delivered, shipped).drop("delivery_id", "delivery_item")
+    return performance.join(first_shipment_per_item(shipped), ITEM_KEY, "left").select(*_analytics_columns())
 
 
 def preview(summary: DataFrame, n: int = 5) -> DataFrame:
@@ -262,20 +283,27 @@ class Marts:
 def write_marts(sheets: Mapping[str, DataFrame], root: str) -> WrittenTables:
     """Build and write the six tables as Parquet; returns the written tables.
 
-    The written order items serve as the order lines of the later tables.
+    The written order items serve as the order lines of the later tables, and the written item delivery performance
+    as the items with their deliveries.
     """
     marts = Marts(sheets)
-    first = write_tables({
-        "order_items": marts.order_items,
-        "delivery_items": marts.delivery_items,
-        "shipment_items": marts.shipment_items,
-        "order_summary": marts.order_summary,
-    }, root)
-    lines, delivered, shipped = first["order_items"], marts.conformed("LIPS"), marts.conformed("VTTP")
-    return first | write_tables({
-        "item_delivery_performance": item_delivery_performance(lines, delivered),
-        "delivery_analytics": delivery_analytics(lines, delivered, shipped),
-    }, root)
+
+    def headed() -> WrittenTables:
+        return write_tables({"delivery_items": marts.delivery_items, "shipment_items": marts.shipment_items}, root)
+
+    def timed() -> WrittenTables:
+        headers, items, delivered, shipped = [marts.conformed(n) for n in ("VBAK", "VBAP", "LIPS", "VTTP")]
+        first = write_tables({"order_items": marts.order_items}, root)
+        lines = first["order_items"]
+        met = write_tables({"item_delivery_performance": item_delivery_performance(lines, delivered)}, root)
+        performance = met["item_delivery_performance"]
+        return first | met | write_tables({
+            "order_summary": order_summary(headers, items, delivered, shipped, performance),
+            "delivery_analytics": delivery_analytics(lines, delivered, shipped, performance),
+        }, root)
+
+    one, other = run_together([timed, headed])
+    return one | other
 
 
 def export_marts(written: Mapping[str, DataFrame], root: str) -> None:

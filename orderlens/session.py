@@ -47,6 +47,11 @@ def bounded_tasks(spark: SparkSession, table_bytes: int) -> SparkSession:
     return spark
 
 
+def parts_of_shuffles(spark: SparkSession) -> int:
+    """Parts that Spark deals a shuffle in before it puts small ones together."""
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _bytes(size: str) -> int:
     """A size as Spark's settings write it."""
     number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
@@ -119,3 +124,18 @@ def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     path = work_path(spark, label)
     df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_by(df: DataFrame, key: str, parts: int, label: str) -> DataFrame:
+    """As ``materialize``, in ``parts`` buckets of ``key``: who groups or joins by it reads rows that lie together.
+
+    A bucket is one task's, so this is for rows of which no key holds too many for a task. Rows that come dealt over
+    ``parts`` by ``key`` make one file a bucket. The table is known to the returned DataFrame only.
+    """
+    spark = df.sparkSession
+    table = f"orderlens_{label}_{uuid.uuid4().hex}"
+    path = work_path(spark, label)
+    df.write.bucketBy(parts, key).sortBy(key).option("compression", "zstd").saveAsTable(table, format="parquet", path=path)
+    written = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # its folder is not its own, so it stays
+    return written

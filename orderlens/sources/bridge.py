@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.schema import SHEETS
-from orderlens.session import materialize, run_together
+from orderlens.session import materialize, materialize_by, parts_of_shuffles, run_together
 from orderlens.sources.tables import LazyTables
 
 # A delivery's id is its order's times this plus the number of its supplier within the order.
@@ -69,16 +69,28 @@ class Bridge:
         )
 
     def landed_sheets(self, *names: str) -> LazyTables:
-        """All sheets, for jobs that read several of those made of finished lines, or one several times.
+        """All sheets, for jobs that read several of those made of lines, or one several times.
 
-        Finished lines are numbered and meet their order once, for all four; deliveries are made of them. Both are
-        written to the shared folder, as are the sheets ``names``, and the four sheets read the columns they need.
+        Finished lines are numbered and meet their order once, for all four sheets made of them, and are written to the
+        shared folder with what their delivery as a whole has; one line of a delivery stands for it. The sheets ``names``
+        are written too. What is made of lines is dealt by order once, grouped and joined there, and written in buckets
+        of orders, so that no reader deals it again to put an order's rows together.
         """
+        parts = parts_of_shuffles(self.spark)  # as many as what meets them is dealt in
+        makers = {n: lambda n=n: materialize(self.sheets()[n], n, "zstd") for n in names}
+        if "VBAP" in makers:
+            makers["VBAP"] = lambda: _vbap(materialize_by(self._items(True, parts).drop("o_orderkey", "o_custkey", "o_orderpriority"), "l_orderkey", parts, "items"), True)
         lines, *own = run_together([
-            lambda: materialize(self._with_order(self._finished("l_linenumber"), copies=True).drop("o_orderkey"), "finished", "zstd"),
-            *[lambda n=n: materialize(self.sheets()[n], n, "zstd") for n in names],
+            lambda: materialize_by(
+                self._with_order(_with_delivery(self._finished("l_linenumber", parts=parts)), True, parts).drop("o_orderkey"),
+                "l_orderkey", parts, "finished",
+            ),
+            *makers.values(),
+        ])
+        deliveries = lines.where("stands").select(*[
+            F.col(f"delivery_{c}").alias(c) if c in _DELIVERY_VALUES else F.col(c)
+            for c in ("l_orderkey", "point", "number", "delivery", "o_custkey", "o_orderpriority", *_DELIVERY_VALUES)
         ])
-        deliveries = materialize(_deliveries(lines), "deliveries", "zstd")
         customer = {"Customer ID": F.col("o_custkey")}
         priority = {"Delivery Priority": F.col("o_orderpriority")}
         return self.sheets().replace(
@@ -89,6 +101,16 @@ class Bridge:
             **{n: lambda df=df: df for n, df in zip(names, own)},
         )
 
+    def _lines(self, parts: int | None, where: str = "true") -> DataFrame:
+        """Order lines with their amounts in units and their flags as numbers; in so many ``parts`` by order, if given."""
+        lines = self.table("lineitem").where(where).select(
+            "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
+            _whole("l_quantity", 3).alias("quantity"), _whole("l_extendedprice", 2).alias("price"),
+            _code("l_linestatus").alias("status"), _code("l_returnflag").alias("flag"),
+            F.col("l_shipdate").cast("date").alias("day"),
+        )
+        return lines.repartition(parts, "l_orderkey") if parts else lines
+
     # -- masters ------------------------------------------------------------
     def _places(self) -> DataFrame:
         return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -166,9 +188,14 @@ class Bridge:
             F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority",
         )
 
-    def _with_order(self, df: DataFrame, copies: bool = False) -> DataFrame:
-        """``df`` with its order's fields; ``copies`` numbers the rows of an order that repeats, as ``copy``."""
+    def _with_order(self, df: DataFrame, copies: bool = False, parts: int | None = None) -> DataFrame:
+        """``df`` with its order's fields; ``copies`` numbers the rows of an order that repeats, as ``copy``.
+
+        ``parts`` is what ``df`` is dealt in by order, if it is: orders are dealt so too.
+        """
         orders = self._order_fields()
+        if parts:
+            orders = orders.repartition(parts, "o_orderkey")
         if copies:
             of_order = Window.partitionBy("o_orderkey").orderBy("o_custkey", "o_orderpriority")
             orders = orders.drop("o_orderdate").where("o_orderkey IS NOT NULL").withColumn("copy", F.row_number().over(of_order))
@@ -176,45 +203,36 @@ class Bridge:
 
     def vbap(self, with_order: bool = True) -> DataFrame:
         """Order items. ``with_order=False`` skips the order lookup (no requested date)."""
-        lines = self.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        return _vbap(self._items(with_order), with_order)
+
+    def _items(self, with_order: bool, parts: int | None = None) -> DataFrame:
+        lines = self._lines(parts).groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("part"),
-            F.sum(_whole("l_quantity", 3)).alias("quantity"),
-            F.max(_whole("l_extendedprice", 2)).alias("price"),
-            F.max(_code("l_linestatus")).alias("status"),
+            F.sum("quantity").alias("quantity"),
+            F.max("price").alias("price"),
+            F.max("status").alias("status"),
         )
-        values = {
-            "Sales Document": F.col("l_orderkey"),
-            "Item Number": F.col("l_linenumber"),
-            "Material Number": F.col("part").cast("string"),
-            "Quantity": _amount(F.col("quantity"), 3),
-            "Net Price": _amount(F.col("price"), 2),
-            "Item Status": _decode(F.col("status"), ITEM_STATUS),
-        }
-        if with_order:
-            lines = self._with_order(lines)
-            values["Delivery Date"] = F.date_add("o_orderdate", REQUESTED_AFTER_DAYS)
-        return _fill(lines, "VBAP", values)
+        return self._with_order(lines, parts=parts) if with_order else lines
 
     # -- deliveries and shipments -------------------------------------------
-    def _finished(self, *extra_keys: str) -> DataFrame:
-        """Finished lines per (order, supplier[, line]).
+    def _finished(self, *extra_keys: str, parts: int | None = None) -> DataFrame:
+        """Finished lines per (order, supplier[, line]); read in so many ``parts`` by order, if given.
 
         Suppliers are numbered within their order after the lines are aggregated: the window sees an
         order's suppliers, or its (supplier, line) pairs where lines are among the keys.
         """
-        lines = self.table("lineitem").where("l_linestatus = 'F'")
+        lines = self._lines(parts, "l_linestatus = 'F'")
         keys = ["l_orderkey", F.col("l_suppkey").alias("point"), *extra_keys]
         number = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("point")) - 1
         too_many = F.raise_error(F.concat(F.lit("more deliveries than ids in order "), "l_orderkey"))
-        ship_day = F.col("l_shipdate").cast("date")
         return lines.groupBy(*keys).agg(
-            F.max(ship_day).alias("last_day"),
-            F.min(ship_day).alias("first_day"),
-            F.max(_code("l_returnflag")).alias("last_flag"),
-            F.min(_code("l_returnflag")).alias("first_flag"),
+            F.max("day").alias("last_day"),
+            F.min("day").alias("first_day"),
+            F.max("flag").alias("last_flag"),
+            F.min("flag").alias("first_flag"),
             F.min("l_partkey").alias("part"),
-            F.sum(_whole("l_quantity", 3)).alias("quantity"),
-            F.max(_whole("l_extendedprice", 2)).alias("price"),
+            F.sum("quantity").alias("quantity"),
+            F.max("price").alias("price"),
         ).withColumn("number", number).withColumn("delivery", F.when(
             F.col("number") < DELIVERIES_PER_ORDER, F.col("l_orderkey") * DELIVERIES_PER_ORDER + F.col("number")
         ).otherwise(too_many.cast("bigint")))
@@ -248,15 +266,34 @@ class Bridge:
         return _vttp(lines, customer)
 
 
-def _deliveries(lines: DataFrame) -> DataFrame:
-    """Finished lines with their order as deliveries: one row per (order, supplier) and copy of the order."""
-    own = ["l_orderkey", "point", "number", "delivery", "o_custkey", "o_orderpriority", "copy"]
-    return lines.groupBy(*own).agg(
-        F.max("last_day").alias("last_day"), F.min("first_day").alias("first_day"),
-        F.max("last_flag").alias("last_flag"), F.min("first_flag").alias("first_flag"),
+# What a delivery has of all its lines, and how.
+_DELIVERY_VALUES = {"last_day": F.max, "first_day": F.min, "last_flag": F.max, "first_flag": F.min}
+
+
+def _with_delivery(lines: DataFrame) -> DataFrame:
+    """Finished lines with the values of their delivery, as ``delivery_<name>``; one line ``stands`` for the delivery."""
+    own = Window.partitionBy("l_orderkey", "point").orderBy("l_linenumber")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return lines.withColumns(
+        {f"delivery_{c}": of(c).over(whole) for c, of in _DELIVERY_VALUES.items()}
+        | {"stands": F.row_number().over(own) == 1}
     )
 
 
+def _vbap(lines: DataFrame, with_order: bool) -> DataFrame:
+    values = {
+        "Sales Document": F.col("l_orderkey"),
+        "Item Number": F.col("l_linenumber"),
+        "Material Number": F.col("part").cast("string"),
+        "Quantity": _amount(F.col("quantity"), 3),
+        "Net Price": _amount(F.col("price"), 2),
+        "Item Status": _decode(F.col("status"), ITEM_STATUS),
+    }
+    if with_order:
+        values["Delivery Date"] = F.date_add("o_orderdate", REQUESTED_AFTER_DAYS)
+    return _fill(lines, "VBAP", values)
+
+
 def _likp(lines: DataFrame, orders: dict[str, Column]) -> DataFrame:
     return _fill(lines, "LIKP", orders | {
         "Delivery Number": F.col("delivery"),

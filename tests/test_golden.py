@@ -7,6 +7,7 @@ import pytest
 
 from orderlens.operators.conform import to_table
 from orderlens.plans import feeders, kpis, quality, warehouse
+from orderlens.plans import marts as mart_plans
 from orderlens.plans.marts import Marts, export_marts, preview, write_marts
 from orderlens.session import work_path
 from orderlens.sources import files
@@ -212,3 +213,22 @@ def test_csv_of_the_tables_and_the_report_is_sorted_by_key(spark, sheets):
     assert [float(q) for k, q in rows if k in (1000001, 1000008)] == [300.0, 300.0]
     assert files.read_csv(spark, f"{root}/report").count() == 128
     assert files.read_csv(spark, f"{root}/item_delivery_performance").where("delivery_gap_days is null").count() == 2
+
+
+def test_written_marts_meet_deliveries_once(spark, sheets, monkeypatch):
+    """Later tables read the written ones, with the rows that each has when it is built alone."""
+    alone = {name: sorted(map(repr, df.collect())) for name, df in Marts(sheets).all().items()}
+    met = []
+    matched = mart_plans.match_deliveries
+    monkeypatch.setattr(mart_plans, "match_deliveries", lambda *of: met.append(1) or matched(*of))
+    written = write_marts(sheets, work_path(spark, "marts"))
+    assert len(met) == 1
+    assert {name: sorted(map(repr, df.select(*Marts(sheets).all()[name].columns).collect())) for name, df in written.items()} == alone
+
+
+def test_customers_are_looked_up_per_order(spark, sheets):
+    """Not per item: the join with customers reads the headers."""
+    plan = Marts(sheets).order_items._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    by_order, by_customer = [next(i for i, line in enumerate(lines) if key in line) for key in ("(order_id", "(customer_id")]
+    assert by_order < by_customer

@@ -7,7 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from orderlens.operators.joins import fanout_left_join, guard_unique
+from orderlens.operators import joins
+from orderlens.operators.joins import fanout_left_join, guard_unique, hot_keys
 from orderlens.plans import marts
 from orderlens.queries import queries
 
@@ -39,6 +40,35 @@ def test_fanout_join_spreads_a_hot_key(spark):
     assert "_salt" in plan and "spark_partition_id" in plan.lower()
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 3, 10, 10_000])
+def test_fanout_join_with_hot_keys_apart_equals_a_left_join(spark, rows_per_task):
+    rng = random.Random(rows_per_task)
+    left = [(rng.choice([None, *range(12)]), rng.randint(0, 2), i) for i in range(40)]
+    right = [(3 if i % 3 == 0 else rng.choice([None, *range(9)]), rng.randint(0, 2), i % 7) for i in range(300)]
+    a = spark.createDataFrame(left, "k int, j int, x int")
+    b = spark.createDataFrame(right, "k int, j int, y int").repartition(5)
+    assert bag(fanout_left_join(a, b, ["k", "j"], b.columns, rows_per_task, apart=True)) == bag(a.join(b, ["k", "j"], "left"))
+
+
+@pytest.mark.parametrize("groups", [1, 4, 1 << 14])
+def test_hot_keys_are_counted_exactly(spark, monkeypatch, groups):
+    """Whichever keys share a group."""
+    monkeypatch.setattr(joins, "KEY_GROUPS", groups)
+    rows = spark.range(0, 1000, 1, 4).select(F.expr("CAST(sqrt(id) AS int)").alias("k"), (F.col("id") % 2).alias("j"))
+    exact = Counter({tuple(r): 1 for r in rows.groupBy("k", "j").count().where("count > 20").collect()})
+    assert len(exact) > 10 and bag(hot_keys(rows, ["k", "j"], 20)) == exact
+    assert hot_keys(rows, ["k", "j"], 1000).count() == 0
+
+
+def test_hot_keys_are_looked_for_without_shuffling_keys(spark):
+    """Distinct keys reach the count as no more rows than there are groups."""
+    rows = spark.range(0, 200_000, 1, 2).select(F.col("id").alias("k"))
+    found = hot_keys(rows, ["k"], 1000)
+    assert found.count() == 0
+    plan = executed_plan(found)
+    assert "LocalTableScan <empty>" in plan or "EmptyRelation" in plan
+
+
 def split_small_partitions(spark):
     """Settings under which test data counts as skewed; returns the undo."""
     settings = {

@@ -265,3 +265,19 @@ def test_landed_sheets_equal_those_derived_alone(spark, tmp_path):
         assert not any("lineitem" in path for path in landed[name].inputFiles())
     for one, other in (("LIPS", "VTTP"), ("LIKP", "VTTK")):
         assert set(landed[one].inputFiles()) == set(landed[other].inputFiles())
+
+
+def test_landed_lines_lie_by_order(spark, tmp_path):
+    """Readers put an order's rows together without an exchange, and hand its lines over once in each of two tables."""
+    day = "timestamp'1995-03-02'"
+    spark.sql(f"SELECT id o_orderkey, id % 7 o_custkey, 'F' o_orderstatus, 1D o_totalprice, {day} o_orderdate, '1' o_orderpriority FROM range(50)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(f"""SELECT id % 50 l_orderkey, id l_partkey, id % 3 l_suppkey, CAST(id % 4 AS int) l_linenumber, 1D l_quantity, 2D l_extendedprice, 'N' l_returnflag,
+        'F' l_linestatus, {day} l_shipdate FROM range(400)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    tables = len(spark.catalog.listTables())
+    landed = Bridge(spark, str(tmp_path)).landed_sheets("VBAP")
+    assert len(spark.catalog.listTables()) == tables
+    for name in ("VBAP", "LIKP", "LIPS", "VTTK", "VTTP"):
+        per_order = landed[name].groupBy("Sales Document").count()
+        assert per_order.count() == 50
+        assert "hashpartitioning" not in per_order._jdf.queryExecution().executedPlan().toString()
+    assert set(landed["LIKP"].inputFiles()) == set(landed["LIPS"].inputFiles())
