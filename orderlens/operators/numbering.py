@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ from orderlens.session import materialize
 _ROW_BITS = 33
 
 
-def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) -> DataFrame:
-    """Add ``name`` = after+1..after+n in the order of ``order_by``.
+def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0, keep: Sequence[str] | None = None) -> DataFrame:
+    """Add ``name`` = after+1..after+n in the order of ``order_by``; ``keep`` names the columns that stay, if not all.
 
     They are range-partitioned and sorted, so any run of rows, a hot leading key
     included, is spread as far as ``order_by`` tells its rows apart. Finding the ranges
@@ -22,7 +24,8 @@ def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) ->
     which bounds both its window and its broadcast.
     """
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    placed = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ids")
+    columns = df.columns if keep is None else list(keep)
+    placed = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()).select(*columns, "_at"), "ids")
     part = F.shiftright("_at", _ROW_BITS)
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
 
@@ -34,5 +37,5 @@ def dense_ids(df: DataFrame, order_by: list[str], name: str, after: int = 0) ->
     return (
         placed.withColumn("_part", part)
         .join(offsets, "_part")
-        .select((F.col("_before") + row + 1 + after).alias(name), *df.columns)
+        .select((F.col("_before") + row + 1 + after).alias(name), *columns)
     )

@@ -103,7 +103,8 @@ class StagedLoad:
 
         def write(name: str, df: DataFrame) -> Step:
             step, counted = targets[name], Observation()
-            self.spark.sql(f"CREATE TABLE {self._staging_table(name)} ({_columns(name)}) USING parquet LOCATION '{step.staged}'")
+            self.spark.sql(f"CREATE TABLE {self._staging_table(name)} ({_columns(name)}) USING parquet "
+                           f"OPTIONS (compression 'zstd') LOCATION '{step.staged}'")
             chosen = df.select(*[named(c) for c, _ in table_columns(name)])
             chosen.observe(counted, F.count("*").alias("n")).write.insertInto(self._staging_table(name))
             return Step(step.table, step.append, step.before, step.staged, counted.get["n"])

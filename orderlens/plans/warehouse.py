@@ -47,8 +47,8 @@ def number_analytics(rows: DataFrame, after: int = 0) -> DataFrame:
     from run to run, whether the rows carry their delivery's key or not.
     """
     order = [c for c in ANALYTICS_ORDER if c in rows.columns]
-    numbered = dense_ids(rows, order, "analytics_id", after)
-    return numbered.select(*[c for c, _ in table_columns("fact_delivery_analytics")])
+    columns = [c for c, _ in table_columns("fact_delivery_analytics")]
+    return dense_ids(rows, order, "analytics_id", after, columns[1:]).select(*columns)
 
 
 def table(sheets: Mapping[str, DataFrame], name: str) -> DataFrame:

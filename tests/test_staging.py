@@ -7,9 +7,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.operators import numbering
 from orderlens.operators.joins import held_keys, orphan_rows, orphan_values, reference_gaps
 from orderlens.plans import quality, staging, warehouse
-from orderlens.schema import FOREIGN_KEYS, LOAD_ORDER, PRIMARY_KEYS
+from orderlens.schema import FOREIGN_KEYS, LOAD_ORDER, PRIMARY_KEYS, table_columns
 from orderlens.session import materialize, work_path
 
 
@@ -137,3 +138,13 @@ def test_rules_on_one_parent_share_a_grouping(spark, sheets):
     parents = {(parent, keys) for _, keys, parent in FOREIGN_KEYS}
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == len(parents) < 8 and "Join" not in plan
     assert all(r["violating_rows"] == 0 for r in quality.foreign_key_violations(tables).collect()) and PRIMARY_KEYS
+
+
+def test_staged_files_are_small(spark, sheets, monkeypatch):
+    """Staged rows are written with zstd, and ids without the columns that only put them in order."""
+    held = []
+    monkeypatch.setattr(numbering, "materialize", lambda df, label: held.append(df.columns) or materialize(df, label))
+    loaded = warehouse.load(sheets, "small_dw")
+    assert held == [[*[c for c, _ in table_columns("fact_delivery_analytics")][1:], "_at"]]
+    for name, df in loaded.items():
+        assert df.count() and all("zstd" in path for path in df.inputFiles()), name
